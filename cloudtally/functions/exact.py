@@ -1,7 +1,8 @@
 """Sums and means that do not depend on row order.
 
 A sum of doubles changes in its last digits with the partitioning, so a lost executor or another
-cluster size could flip a flag at its limit. Decimals add exactly; the result goes back to double.
+cluster size could flip a flag at its limit. Here a value is scaled to a whole number first; whole
+numbers add exactly, and the total goes back to a double.
 """
 
 from __future__ import annotations
@@ -9,22 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-METRIC = "decimal(18,6)"
+MONEY = 4  # decimal digits kept of an amount of money
+METRIC = 6  # decimal digits kept of any other number
 
+_FITS_LONG = 9.0e18
 
-def exact_sum(value: Column | str, kind: str = MONEY, over: WindowSpec | None = None) -> Column:
-    total = F.sum(_col(value).cast(kind))
+
+def exact_sum(value: Column | str, digits: int = MONEY, over: WindowSpec | None = None) -> Column:
+    """Sum to ``digits`` decimal digits. The buffer holds 38 digits, so no group size overflows it."""
+    total = F.sum(_scaled(_col(value), digits))
     if over is not None:
         total = total.over(over)
-    return total.cast("double")
+    return (total / 10**digits).cast("double")
 
 
-def exact_avg(value: Column | str, kind: str = METRIC, over: WindowSpec | None = None) -> Column:
+def exact_avg(value: Column | str, digits: int = METRIC, over: WindowSpec | None = None) -> Column:
     n = F.count(_col(value))
     if over is not None:
         n = n.over(over)
-    return ratio(exact_sum(value, kind, over), n)
+    return ratio(exact_sum(value, digits, over), n)
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -32,10 +36,23 @@ def ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom.cast("double"), F.lit(0.0))
 
 
+def round_money(value: Column) -> Column:
+    """Round to cents, halves away from zero, as the number reads in decimal digits."""
+    return F.round(value.cast("decimal(38,6)"), 2).cast("double")
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it is false or unknown."""
     return F.when(condition, 1).otherwise(0)
 
 
+def _scaled(value: Column, digits: int) -> Column:
+    """The value as a whole number of its last kept digit. Going through a long is several times
+    faster than a cast of the double to a decimal, which is left for numbers a long cannot hold."""
+    whole = F.rint(value * 10.0**digits)
+    return F.when(F.abs(whole) < _FITS_LONG, whole.cast("long").cast("decimal(28,0)")).otherwise(
+        whole.cast("decimal(28,0)"))
+
+
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -207,7 +207,7 @@ class SampleInputs:
 
 def _cents(name: str) -> Column:
     """A two-digit amount as whole hundredths: integer sums are exact and stay in generated code."""
-    return F.round(F.col(name) * 100).cast("long")
+    return F.rint(F.col(name) * 100).cast("long")
 
 
 def _units(amount: Column, per_unit: int) -> Column:

@@ -336,8 +336,8 @@ def statements() -> dict[str, str]:
             FROM fact_cost_monthly""", "fact_cost_monthly"),
         "v_budget_runrate": _with(f"""
             SELECT agency_id, fiscal_year, months_elapsed, ytd_spend,
-                   ROUND(ytd_spend / NULLIF(months_elapsed, 0) * 12, 2) AS projected_annual_spend,
-                   ROUND(ytd_spend / NULLIF(months_elapsed, 0), 2) AS avg_monthly_burn
+                   ROUND((ytd_spend / NULLIF(months_elapsed, 0) * 12)::DECIMAL(38,6), 2)::DOUBLE AS projected_annual_spend,
+                   ROUND((ytd_spend / NULLIF(months_elapsed, 0))::DECIMAL(38,6), 2)::DOUBLE AS avg_monthly_burn
             FROM (SELECT agency_id, year(date_key)::VARCHAR AS fiscal_year, MAX(month(date_key))::INTEGER
                          AS months_elapsed, {_sum('monthly_cost')} AS ytd_spend
                   FROM monthly_spend GROUP BY ALL)""", "monthly_spend"),
