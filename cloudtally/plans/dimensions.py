@@ -52,15 +52,15 @@ def dim_region(agencies: DataFrame) -> DataFrame:
         "region_id", F.col("aws_pref_region").alias("aws_region"), "region_group", F.lit("Primary").alias("tier"))
 
 
-def dim_date(usage: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row per month found in the usage table.
+def dim_date(months: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row per month found in the ``month`` column of the usage table.
 
     Text that is not a month gives no row, so the key is never NULL, and the years 0001 to 9999 bound
     the table at 120,000 rows: it can always be broadcast.
     """
     day = F.col("date_key")
     return (
-        usage.select("month").distinct()
+        months.select("month").distinct()
         .select(month_start(F.col("month")).alias("date_key"))
         .filter(day.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")))
         .distinct()

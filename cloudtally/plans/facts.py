@@ -6,6 +6,8 @@ months themselves, so each parsed month is its own lookup result and a second sc
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,28 +30,38 @@ def with_date_key(raw: DataFrame, date: DataFrame | None = None) -> DataFrame:
     return joined.withColumn("date_key", F.col("known_key")).drop("known_key")
 
 
-def with_ids(usage: DataFrame, service: DataFrame, region: DataFrame, date: DataFrame | None = None) -> DataFrame:
-    """The star lookup of a usage row: service, region and month keys; every row is kept."""
-    named = lookup(usage, service, "service_type", ["service_id"])
-    placed = lookup(named, region, "aws_region", ["region_id"])
-    return with_date_key(placed, date)
+def with_ids(usage: DataFrame, service: DataFrame | None = None, region: DataFrame | None = None,
+             date: DataFrame | None = None) -> DataFrame:
+    """The star lookup of a usage row; every row is kept. Without a dimension its id is left out."""
+    found = usage
+    if service is not None:
+        found = lookup(found, service, "service_type", ["service_id"])
+    if region is not None:
+        found = lookup(found, region, "aws_region", ["region_id"])
+    return with_date_key(found, date)
+
+
+def _ids(df: DataFrame) -> list[str]:
+    return [c for c in ("service_id", "region_id") if c in df.columns]
 
 
-def fact_usage_monthly(usage: DataFrame, service: DataFrame, region: DataFrame,
+def fact_usage_monthly(usage: DataFrame, service: DataFrame | None = None, region: DataFrame | None = None,
                        date: DataFrame | None = None) -> DataFrame:
-    return with_ids(usage, service, region, date).select(
-        "agency_id", "date_key", "service_id", "region_id", "service_type", "compute_hours", "storage_gb",
-        "data_egress_gb", "utilisation_pct", "cost_usd", "resource_count", "migration_status", "aws_region")
+    rows = with_ids(usage, service, region, date)
+    return rows.select(
+        "agency_id", "date_key", *_ids(rows), "service_type", "compute_hours", "storage_gb", "data_egress_gb",
+        "utilisation_pct", "cost_usd", "resource_count", "migration_status", "aws_region")
 
 
-def fact_cost_monthly(usage: DataFrame, service: DataFrame, region: DataFrame, date: DataFrame | None = None,
-                      limits: Limits = Limits()) -> DataFrame:
+def fact_cost_monthly(usage: DataFrame, service: DataFrame | None = None, region: DataFrame | None = None,
+                      date: DataFrame | None = None, limits: Limits = Limits()) -> DataFrame:
     """Usage with its cost per workload unit, NULL for rows without any workload."""
     compute, storage, egress = F.col("compute_hours"), F.col("storage_gb"), F.col("data_egress_gb")
     units = compute + storage * limits.storage_weight + egress * limits.egress_weight
-    return with_ids(usage, service, region, date).select(
-        "agency_id", "date_key", "service_id", "region_id", "service_type", "cost_usd", "compute_hours",
-        "storage_gb", "data_egress_gb", "utilisation_pct", "resource_count", "migration_status",
+    rows = with_ids(usage, service, region, date)
+    return rows.select(
+        "agency_id", "date_key", *_ids(rows), "service_type", "cost_usd", "compute_hours", "storage_gb",
+        "data_egress_gb", "utilisation_pct", "resource_count", "migration_status",
         F.when(compute + storage + egress > 0, ratio(F.col("cost_usd"), units)).alias("cost_per_unit"),
     )
 
@@ -65,8 +77,12 @@ def error_rate_pct(utilisation: Column, status: Column, limits: Limits) -> Colum
     return above(utilisation, limits.error_tiers, limits.error_floor) + extra
 
 
-def fact_performance(usage_fact: DataFrame, date: DataFrame | None = None, limits: Limits = Limits()) -> DataFrame:
-    """Modelled latency, error rate, breach flag, response score and efficiency per usage row."""
+def fact_performance(usage_fact: DataFrame, date: DataFrame | None = None, limits: Limits = Limits(),
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """Modelled latency, error rate, breach flag, response score and efficiency per usage row.
+
+    ``keep`` names further usage columns to pass through.
+    """
     util, cost, status = F.col("utilisation_pct"), F.col("cost_usd"), F.col("migration_status")
     if date is None:
         rows = usage_fact.withColumn("peak_period_flag", peak_flag(F.col("date_key"), limits.peak_months))
@@ -82,7 +98,7 @@ def fact_performance(usage_fact: DataFrame, date: DataFrame | None = None, limit
         | (util > limits.breach_utilisation)
     )
     return modelled.select(
-        "agency_id", "date_key", "service_id", "region_id", "service_type", "migration_status", "compute_hours",
+        "agency_id", "date_key", *_ids(usage_fact), *keep, "service_type", "migration_status", "compute_hours",
         "storage_gb", "data_egress_gb", "utilisation_pct", "cost_usd", "resource_count", "peak_period_flag",
         "latency_ms", "error_rate_pct",
         flag(breach).alias("sla_breach_flag"),

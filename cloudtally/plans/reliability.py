@@ -156,8 +156,7 @@ def region_performance(performance: DataFrame, region: DataFrame) -> DataFrame:
 
 def region_mismatch(usage_fact: DataFrame, agency: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Spend and breaches per agency outside its preferred region. Rows are summed before the agency lookup."""
-    placed = fact_performance(usage_fact.withColumn("region_id", F.col("aws_region")), limits=limits)
-    sums = placed.groupBy("agency_id", F.col("region_id").alias("aws_region")).agg(
+    sums = fact_performance(usage_fact, limits=limits, keep=["aws_region"]).groupBy("agency_id", "aws_region").agg(
         exact_sum("cost_usd").alias("spend"), F.sum("sla_breach_flag").alias("hits"))
     away = F.col("aws_region") != F.col("aws_pref_region")
     return lookup(sums, agency, "agency_id", ["aws_pref_region"]).groupBy("agency_id", "aws_pref_region").agg(
@@ -168,9 +167,9 @@ def region_mismatch(usage_fact: DataFrame, agency: DataFrame, limits: Limits = L
 
 def sla_by_criticality(performance: DataFrame, service: DataFrame) -> DataFrame:
     """Breach rate by criticality; rows are counted per service before the lookup."""
-    counts = performance.groupBy("service_id").agg(
+    counts = performance.groupBy("service_type").agg(
         F.count("*").alias("n"), F.sum("sla_breach_flag").alias("hits"))
-    return lookup(counts, service, "service_id", ["criticality_level"]).groupBy("criticality_level").agg(
+    return lookup(counts, service, "service_type", ["criticality_level"]).groupBy("criticality_level").agg(
         F.sum("n").alias("months"), F.sum("hits").alias("breaches"),
         (100 * F.sum("hits") / F.sum("n")).alias("breach_rate_pct"))
 

@@ -14,6 +14,7 @@ from cloudtally.plans import dimensions, facts
 
 class RawInputs(Protocol):
     def usage_monthly(self) -> DataFrame: ...
+    def usage_months(self) -> DataFrame: ...
     def provider_spend(self) -> DataFrame: ...
     def migration_summary(self) -> DataFrame: ...
     def tagging_compliance(self) -> DataFrame: ...
@@ -25,8 +26,7 @@ class Warehouse:
     """Dimensions and facts by name. ``at_grain`` promises unique raw rows on the documented grains.
 
     Tables are plans, not data: asking for one starts no job, but for the row count that lets the region
-    dimension be broadcast. ``usage_rows`` and ``cost_rows`` are the facts for plans that name no region
-    id; without that column Spark drops the lookup, so they skip the count too.
+    dimension be broadcast. The ``*_rows`` are the same facts without dimension ids, for plans that use none.
     """
 
     def __init__(self, spark: SparkSession, inputs: RawInputs, limits: Limits = Limits(), at_grain: bool = False):
@@ -35,9 +35,21 @@ class Warehouse:
         self.limits = limits
         self.at_grain = at_grain
 
+    @cached_property
+    def usage_monthly(self) -> DataFrame:
+        return self.inputs.usage_monthly()
+
+    @cached_property
+    def tagging_compliance(self) -> DataFrame:
+        return self.inputs.tagging_compliance()
+
+    @cached_property
+    def agencies(self) -> DataFrame:
+        return self.inputs.agencies()
+
     @cached_property
     def dim_agency_clean(self) -> DataFrame:
-        return dimensions.dim_agency_clean(self.inputs.agencies())
+        return dimensions.dim_agency_clean(self.agencies)
 
     @cached_property
     def dim_service(self) -> DataFrame:
@@ -45,7 +57,7 @@ class Warehouse:
 
     @cached_property
     def dim_region(self) -> DataFrame:
-        return dimensions.dim_region(self.inputs.agencies())
+        return dimensions.dim_region(self.agencies)
 
     @cached_property
     def dim_region_small(self) -> DataFrame:
@@ -53,25 +65,24 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dimensions.dim_date(self.inputs.usage_monthly(), self.limits)
+        return dimensions.dim_date(self.inputs.usage_months(), self.limits)
 
     @cached_property
     def fact_usage_monthly(self) -> DataFrame:
-        return facts.fact_usage_monthly(self.inputs.usage_monthly(), self.dim_service, self.dim_region_small)
+        return facts.fact_usage_monthly(self.usage_monthly, self.dim_service, self.dim_region_small)
 
     @cached_property
     def usage_rows(self) -> DataFrame:
-        return facts.fact_usage_monthly(self.inputs.usage_monthly(), self.dim_service, self.dim_region)
+        return facts.fact_usage_monthly(self.usage_monthly)
 
     @cached_property
     def fact_cost_monthly(self) -> DataFrame:
         return facts.fact_cost_monthly(
-            self.inputs.usage_monthly(), self.dim_service, self.dim_region_small, limits=self.limits)
+            self.usage_monthly, self.dim_service, self.dim_region_small, limits=self.limits)
 
     @cached_property
     def cost_rows(self) -> DataFrame:
-        return facts.fact_cost_monthly(
-            self.inputs.usage_monthly(), self.dim_service, self.dim_region, limits=self.limits).drop("region_id")
+        return facts.fact_cost_monthly(self.usage_monthly, limits=self.limits)
 
     @cached_property
     def fact_performance(self) -> DataFrame:
@@ -79,7 +90,7 @@ class Warehouse:
 
     @cached_property
     def performance_rows(self) -> DataFrame:
-        return facts.fact_performance(self.usage_rows, limits=self.limits).drop("region_id")
+        return facts.fact_performance(self.usage_rows, limits=self.limits)
 
     @cached_property
     def fact_migration_summary(self) -> DataFrame:
@@ -87,11 +98,11 @@ class Warehouse:
 
     @cached_property
     def fact_tagging_compliance(self) -> DataFrame:
-        return facts.fact_tagging_compliance(self.inputs.tagging_compliance(), self.dim_date)
+        return facts.fact_tagging_compliance(self.tagging_compliance, self.dim_date)
 
     @cached_property
     def fact_finance_governance(self) -> DataFrame:
-        return facts.fact_finance_governance(self.inputs.tagging_compliance(), self.dim_date, self.limits)
+        return facts.fact_finance_governance(self.tagging_compliance, self.dim_date, self.limits)
 
     @cached_property
     def fact_provider_spend(self) -> DataFrame:

@@ -25,27 +25,36 @@ class SampleInputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Each file's footer is read once per instance, however many inputs use the table."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
-    def _places(self) -> DataFrame:
+    def _supplier_places(self, rows: DataFrame | None = None) -> DataFrame:
+        """Suppliers with their country and region; with ``rows``, those rows joined to their supplier.
+
+        One table is joined at a time, to the rows: the size of each is then known from its file, so
+        Spark broadcasts what is small. A prejoined supplier table would be guessed as far too large.
+        """
+        suppliers = self.table("supplier").select(
+            F.col("s_suppkey").cast("int").alias("agency_id"), "s_name", "s_nationkey", "s_acctbal")
+        found = suppliers if rows is None else rows.join(suppliers, "agency_id")
         return (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            found.join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.col("s_suppkey").cast("int").alias("agency_id"), "s_name", "s_acctbal",
-                F.col("n_name").alias("country"),
-                F.concat(F.lit("C"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("country_code"),
-                "r_name",
-            )
+            .withColumns({
+                "country": F.col("n_name"),
+                "country_code": F.concat(F.lit("C"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")),
+            })
         )
 
     def agencies(self) -> DataFrame:
         """One row per supplier, two for every tenth, so that the dimension build has copies to fold."""
         region = F.col("r_name")
-        return self._places().select(
+        return self._supplier_places().select(
             "agency_id",
             F.col("s_name").alias("agency_name"),
             "country",
@@ -77,7 +86,7 @@ class SampleInputs:
             )
         )
         after = (F.col("agency_id") % 2 == 0) & (F.col("first_day") >= F.lit(CUTOVER).cast("date"))
-        return cells.join(self._places(), "agency_id").select(
+        return self._supplier_places(cells).select(
             "agency_id", "country", "country_code",
             F.date_format("first_day", "yyyy-MM").alias("month"),
             "service_type",
@@ -91,6 +100,12 @@ class SampleInputs:
             F.col("lines").cast("int").alias("resource_count"),
         )
 
+    def usage_months(self) -> DataFrame:
+        """The months of ``usage_monthly``, without its sums."""
+        seen = self.table("lineitem").groupBy(
+            F.col("l_suppkey").cast("int").alias("agency_id"), F.trunc("l_shipdate", "month").alias("first_day")).agg(F.count("*").alias("lines"))
+        return self._supplier_places(seen).select(F.date_format("first_day", "yyyy-MM").alias("month"))
+
     def _ordered_lines(self) -> DataFrame:
         lines = self.table("lineitem").select(
             "l_orderkey", F.col("l_suppkey").cast("int").alias("agency_id"), "l_shipdate", "l_extendedprice")
@@ -107,7 +122,7 @@ class SampleInputs:
                 _units(F.when(untagged, _cents("l_extendedprice")).otherwise(0), 100).alias("untagged_cost_usd"),
             )
         )
-        return cells.join(self._places(), "agency_id").select(
+        return self._supplier_places(cells).select(
             "agency_id", "country", "country_code",
             F.date_format("first_day", "yyyy-MM").alias("month"),
             (F.lit(100.0) * F.col("tagged") / F.col("lines")).alias("tagged_pct"),
@@ -125,7 +140,7 @@ class SampleInputs:
             )
             .agg(_units(_cents("l_extendedprice"), 100).alias("spend_usd"))
         )
-        return cells.join(self._places(), "agency_id").select(
+        return self._supplier_places(cells).select(
             "agency_id", "country", "country_code", "year", "cloud_provider", "spend_usd")
 
     def migration_summary(self) -> DataFrame:
@@ -144,7 +159,7 @@ class SampleInputs:
             )
         )
         day = F.concat((1 + F.col("agency_id") % 9).cast("string"), F.lit("/7/1998"))
-        return cells.join(self._places(), "agency_id").select(
+        return self._supplier_places(cells).select(
             "agency_id", "country", "country_code",
             _size(F.col("s_acctbal")).alias("org_size"),
             F.when(moved, "Yes").otherwise("No").alias("migrated"),
@@ -195,7 +210,7 @@ class SampleInputs:
             .filter(F.col("agency_id") % 11 != 3)
         )
         every_month = F.sequence("first_day", "last_day", F.expr("interval 1 month"))
-        return totals.join(self._places().select("agency_id"), "agency_id").select(
+        return self._supplier_places(totals).select(
             "agency_id", F.explode(every_month).alias("day"), "monthly_budget_usd",
         ).select("agency_id", F.date_format("day", "yyyy-MM").alias("month"), "monthly_budget_usd")
 
