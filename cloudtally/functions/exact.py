@@ -10,13 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-MONEY = 4  # decimal digits kept of an amount of money
-METRIC = 6  # decimal digits kept of any other number
+DIGITS = 6  # decimal digits kept of every summed value
 
 _FITS_LONG = 9.0e18
 
 
-def exact_sum(value: Column | str, digits: int = MONEY, over: WindowSpec | None = None) -> Column:
+def exact_sum(value: Column | str, digits: int = DIGITS, over: WindowSpec | None = None) -> Column:
     """Sum to ``digits`` decimal digits. The buffer holds 38 digits, so no group size overflows it."""
     total = F.sum(_scaled(_col(value), digits))
     if over is not None:
@@ -24,7 +23,7 @@ def exact_sum(value: Column | str, digits: int = MONEY, over: WindowSpec | None
     return (total / 10**digits).cast("double")
 
 
-def exact_avg(value: Column | str, digits: int = METRIC, over: WindowSpec | None = None) -> Column:
+def exact_avg(value: Column | str, digits: int = DIGITS, over: WindowSpec | None = None) -> Column:
     n = F.count(_col(value))
     if over is not None:
         n = n.over(over)

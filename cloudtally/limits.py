@@ -52,7 +52,7 @@ class Limits:
 
     # --- our own choices where the rules name no number ---
     overrun_months: int = 3
-    peak_drop_points: float = 5.0
+    peak_drop_points: float = 2.0
     high_dependence_share: float = 0.7
     fragmented_index: float = 0.4
     budget_yellow_share: float = 0.10

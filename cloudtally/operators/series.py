@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from cloudtally.functions.exact import MONEY, exact_avg, exact_sum, ratio, round_money
+from cloudtally.functions.exact import exact_avg, exact_sum, ratio, round_money
 
 
 def to_grain(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
@@ -27,15 +27,15 @@ def by_month(entity: Sequence[str], date: str = "date_key") -> WindowSpec:
 
 def rolling_avg(value: str, order: WindowSpec, rows: int) -> Column:
     """Mean over the current row and the ``rows - 1`` before it."""
-    return exact_avg(value, MONEY, order.rowsBetween(1 - rows, Window.currentRow))
+    return exact_avg(value, over=order.rowsBetween(1 - rows, Window.currentRow))
 
 
 def rolling_sum(value: str, order: WindowSpec, rows: int) -> Column:
-    return exact_sum(value, MONEY, order.rowsBetween(1 - rows, Window.currentRow))
+    return exact_sum(value, over=order.rowsBetween(1 - rows, Window.currentRow))
 
 
 def running_sum(value: str, order: WindowSpec) -> Column:
-    return exact_sum(value, MONEY, order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return exact_sum(value, over=order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def growth(value: Column, previous: Column) -> Column:

@@ -55,12 +55,15 @@ def fact_usage_monthly(usage: DataFrame, service: DataFrame | None = None, regio
 
 def fact_cost_monthly(usage: DataFrame, service: DataFrame | None = None, region: DataFrame | None = None,
                       date: DataFrame | None = None, limits: Limits = Limits()) -> DataFrame:
-    """Usage with its cost per workload unit, NULL for rows without any workload."""
+    return cost_of_usage(fact_usage_monthly(usage, service, region, date), limits)
+
+
+def cost_of_usage(usage_fact: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The usage fact with its cost per workload unit, NULL for rows without any workload."""
     compute, storage, egress = F.col("compute_hours"), F.col("storage_gb"), F.col("data_egress_gb")
     units = compute + storage * limits.storage_weight + egress * limits.egress_weight
-    rows = with_ids(usage, service, region, date)
-    return rows.select(
-        "agency_id", "date_key", *_ids(rows), "service_type", "cost_usd", "compute_hours", "storage_gb",
+    return usage_fact.select(
+        "agency_id", "date_key", *_ids(usage_fact), "service_type", "cost_usd", "compute_hours", "storage_gb",
         "data_egress_gb", "utilisation_pct", "resource_count", "migration_status",
         F.when(compute + storage + egress > 0, ratio(F.col("cost_usd"), units)).alias("cost_per_unit"),
     )

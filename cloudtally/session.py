@@ -29,14 +29,18 @@ def local_session(name: str = "cloudtally", cpus: int | str = 8, memory: str = "
     return spark
 
 
+_own_folder: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder the cluster names, so that every executor reaches it.
 
-    Only where no folder is set (a test session) is a temporary one made and removed at exit.
+    Only where no folder is set, in a test session, is a temporary one made and removed at exit.
     """
     base = spark.conf.get(_CHECKPOINT_DIR, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="cloudtally-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set(_CHECKPOINT_DIR, base)
+        if not _own_folder:
+            _own_folder.append(tempfile.mkdtemp(prefix="cloudtally-"))
+            atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
+        base = _own_folder[0]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

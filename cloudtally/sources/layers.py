@@ -15,6 +15,9 @@ def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = (), bucketed
     windows on the bucket columns need no shuffle.
     """
     spark = df.sparkSession
+    if partition_by:
+        # Sizes the files: small months share one, a month too large for one task is split.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

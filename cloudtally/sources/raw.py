@@ -27,3 +27,38 @@ def read_raw(spark: SparkSession, name: str, path: str | list[str], mode: str |
 
 def write_raw(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV).csv(path)
+
+
+class CsvInputs:
+    """Raw inputs read from ``<folder>/<table>`` CSV folders or files."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    def _read(self, name: str) -> DataFrame:
+        return read_raw(self.spark, name, f"{self.folder}/{name}")
+
+    def usage_monthly(self) -> DataFrame:
+        return self._read("usage_monthly")
+
+    def usage_months(self) -> DataFrame:
+        return self.usage_monthly().select("month")
+
+    def provider_spend(self) -> DataFrame:
+        return self._read("provider_spend")
+
+    def migration_summary(self) -> DataFrame:
+        return self._read("migration_summary")
+
+    def tagging_compliance(self) -> DataFrame:
+        return self._read("tagging_compliance")
+
+    def baseline_adoption(self) -> DataFrame:
+        return self._read("baseline_adoption")
+
+    def agencies(self) -> DataFrame:
+        return self._read("agencies")
+
+    def budget(self) -> DataFrame:
+        return self._read("budget")

@@ -451,7 +451,7 @@ def _reliability() -> dict[str, str]:
                        {_avg('IF(peak_period_flag = 1, stability_score, NULL)')} AS peak_stability,
                        {_avg('IF(peak_period_flag = 0, stability_score, NULL)')} AS offpeak_stability
                 FROM stable {grouped})
-            WHERE offpeak_stability - peak_stability > 5""", "stable"),
+            WHERE offpeak_stability - peak_stability > 2""", "stable"),
         "breach_concentration": _with(f"""
             SELECT *, breaches::DOUBLE / NULLIF((SUM(breaches) OVER ())::DOUBLE, 0) AS share_of_breaches,
                    peak_breaches::DOUBLE / NULLIF((SUM(peak_breaches) OVER ())::DOUBLE, 0) AS share_of_peak_breaches,
