@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 
 def month_start(month: Column) -> Column:
-    """``'YYYY-MM'`` text to the DATE of its first day; NULL where the text is not a month."""
-    return F.try_to_date(F.concat(month, F.lit("-01")), "yyyy-MM-dd")
+    """``'YYYY-MM'`` text to the DATE of its first day; NULL where the text is not a month.
+
+    A cast parses a date several times faster than a pattern does, but would also take ``2025-1``; hence
+    the test of the shape.
+    """
+    shaped = (F.length(month) == 7) & (F.substring(month, 5, 1) == "-")
+    return F.when(shaped, F.concat(month, F.lit("-01")).try_cast("date"))
 
 
 def month_text(date: Column) -> Column:
-    return F.date_format(date, "yyyy-MM")
+    """A DATE to its ``'YYYY-MM'`` text."""
+    return F.substring(date.cast("string"), 1, 7)
 
 
 def quarter_label(date: Column) -> Column:

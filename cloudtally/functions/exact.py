@@ -1,8 +1,9 @@
 """Sums and means that do not depend on row order.
 
 A sum of doubles changes in its last digits with the partitioning, so a lost executor or another
-cluster size could flip a flag at its limit. Here a value is scaled to a whole number first; whole
-numbers add exactly, and the total goes back to a double.
+cluster size could flip a flag at its limit. Here a value is split into its whole number and its
+rounded rest, both integers, which add exactly; the total goes back to a double. Two integer sums
+stay in generated code and cost about as much as a sum of doubles, a decimal sum several times more.
 """
 
 from __future__ import annotations
@@ -12,15 +13,15 @@ from pyspark.sql import functions as F
 
 DIGITS = 6  # decimal digits kept of every summed value
 
-_FITS_LONG = 9.0e18
-
-
 def exact_sum(value: Column | str, digits: int = DIGITS, over: WindowSpec | None = None) -> Column:
-    """Sum to ``digits`` decimal digits. The buffer holds 38 digits, so no group size overflows it."""
-    total = F.sum(_scaled(_col(value), digits))
+    """Sum to ``digits`` decimal digits. A total beyond 9e18 stops the query; it is never wrong."""
+    number = _col(value).cast("double")
+    whole = F.rint(number).cast("long")
+    rest = F.rint((number - whole) * 10.0**digits).cast("long")
+    wholes, rests = F.sum(whole), F.sum(rest)
     if over is not None:
-        total = total.over(over)
-    return (total / 10**digits).cast("double")
+        wholes, rests = wholes.over(over), rests.over(over)
+    return ((wholes.cast("decimal(38,0)") * 10**digits + rests) / 10**digits).cast("double")
 
 
 def exact_avg(value: Column | str, digits: int = DIGITS, over: WindowSpec | None = None) -> Column:
@@ -45,13 +46,5 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def _scaled(value: Column, digits: int) -> Column:
-    """The value as a whole number of its last kept digit. Going through a long is several times
-    faster than a cast of the double to a decimal, which is left for numbers a long cannot hold."""
-    whole = F.rint(value * 10.0**digits)
-    return F.when(F.abs(whole) < _FITS_LONG, whole.cast("long").cast("decimal(28,0)")).otherwise(
-        whole.cast("decimal(28,0)"))
-
-
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value

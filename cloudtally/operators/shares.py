@@ -29,10 +29,14 @@ def share_of_total(df: DataFrame, value: str, by: Sequence[str], name: str, smal
     return df.join(right, match, "left").select(*df.columns, ratio(F.col(value), F.col("_total")).alias(name))
 
 
-def share_of_all(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add each row's value as a fraction of the whole column, read as a one-row subquery."""
-    total = df.agg(exact_sum(value).alias("total")).scalar()
-    return df.withColumn(name, ratio(F.col(value), total))
+def share_of_all(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Add columns as fractions of their whole columns: value column -> share column.
+
+    The totals are one one-row subquery, so the rows need no common task.
+    """
+    totals = df.agg(F.struct(*[exact_sum(v).alias(v) for v in names]).alias("t")).scalar()
+    shared = df.withColumn("_t", totals)
+    return shared.select(*df.columns, *[ratio(F.col(v), F.col(f"_t.{v}")).alias(n) for v, n in names.items()])
 
 
 def pivot_sum(df: DataFrame, by: Sequence[str], key: str, value: str, names: dict[str, str]) -> DataFrame:

@@ -142,7 +142,7 @@ def acceleration_concentration(cost_fact: DataFrame, k: int = 2) -> DataFrame:
         exact_sum("_rise").alias("increase_usd"))
     known = increases.filter(F.col("increase_usd").isNotNull())
     order = [F.col("increase_usd").desc(), F.col("agency_id").asc()]
-    top = top_k(share_of_all(known, "increase_usd", "share_of_increase"), order, k, "increase_rank")
+    top = top_k(share_of_all(known, {"increase_usd": "share_of_increase"}), order, k, "increase_rank")
     so_far = Window.orderBy("increase_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return top.withColumn("cumulative_share", F.sum("share_of_increase").over(so_far))
 

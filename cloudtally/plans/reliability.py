@@ -141,9 +141,7 @@ def breach_concentration(performance: DataFrame) -> DataFrame:
         F.sum(hit).alias("breaches"),
         F.count_if((hit == 1) & (peak == 1)).alias("peak_breaches"),
         F.count_if((hit == 1) & (peak == 0)).alias("offpeak_breaches"))
-    for column in ("breaches", "peak_breaches", "offpeak_breaches"):
-        counts = share_of_all(counts, column, f"share_of_{column}")
-    return counts
+    return share_of_all(counts, {c: f"share_of_{c}" for c in ("breaches", "peak_breaches", "offpeak_breaches")})
 
 
 def region_performance(performance: DataFrame, region: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cloudtally.functions.dates import month_text
+from cloudtally.functions.exact import exact_avg
+
 # Fixed values of the mapping.
 CUTOVER = "1998-07-01"
 UNTAGGED = "4-NOT SPECIFIED"
@@ -88,7 +91,7 @@ class SampleInputs:
         after = (F.col("agency_id") % 2 == 0) & (F.col("first_day") >= F.lit(CUTOVER).cast("date"))
         return self._supplier_places(cells).select(
             "agency_id", "country", "country_code",
-            F.date_format("first_day", "yyyy-MM").alias("month"),
+            month_text(F.col("first_day")).alias("month"),
             "service_type",
             (F.col("quantity") * 10).alias("compute_hours"),
             (F.col("gross") / 100).alias("storage_gb"),
@@ -104,7 +107,7 @@ class SampleInputs:
         """The months of ``usage_monthly``, without its sums."""
         seen = self.table("lineitem").groupBy(
             F.col("l_suppkey").cast("int").alias("agency_id"), F.trunc("l_shipdate", "month").alias("first_day")).agg(F.count("*").alias("lines"))
-        return self._supplier_places(seen).select(F.date_format("first_day", "yyyy-MM").alias("month"))
+        return self._supplier_places(seen).select(month_text(F.col("first_day")).alias("month"))
 
     def _ordered_lines(self) -> DataFrame:
         lines = self.table("lineitem").select(
@@ -124,7 +127,7 @@ class SampleInputs:
         )
         return self._supplier_places(cells).select(
             "agency_id", "country", "country_code",
-            F.date_format("first_day", "yyyy-MM").alias("month"),
+            month_text(F.col("first_day")).alias("month"),
             (F.lit(100.0) * F.col("tagged") / F.col("lines")).alias("tagged_pct"),
             "untagged_cost_usd",
         )
@@ -200,11 +203,11 @@ class SampleInputs:
             self.table("lineitem")
             .groupBy(F.col("l_suppkey").cast("int").alias("agency_id"),
                      F.trunc("l_shipdate", "month").alias("first_day"))
-            .agg(F.sum(net.cast("decimal(18,0)")).alias("net"))
+            .agg(_units(net, 10000).alias("net"))
             .groupBy("agency_id")
             .agg(
                 F.min("first_day").alias("first_day"), F.max("first_day").alias("last_day"),
-                F.floor((F.sum("net") / 10000).cast("double") / F.count("*")).cast("double")
+                F.floor(exact_avg("net")).cast("double")
                 .alias("monthly_budget_usd"),
             )
             .filter(F.col("agency_id") % 11 != 3)
@@ -212,7 +215,7 @@ class SampleInputs:
         every_month = F.sequence("first_day", "last_day", F.expr("interval 1 month"))
         return self._supplier_places(totals).select(
             "agency_id", F.explode(every_month).alias("day"), "monthly_budget_usd",
-        ).select("agency_id", F.date_format("day", "yyyy-MM").alias("month"), "monthly_budget_usd")
+        ).select("agency_id", month_text(F.col("day")).alias("month"), "monthly_budget_usd")
 
     def event_log(self) -> DataFrame:
         return self.table("events").select(
@@ -226,8 +229,12 @@ def _cents(name: str) -> Column:
 
 
 def _units(amount: Column, per_unit: int) -> Column:
-    """Exact total of integer amounts, scaled to units. The decimal buffer cannot overflow."""
-    return (F.sum(amount.cast("decimal(18,0)")) / per_unit).cast("double")
+    """Exact total of integer amounts, scaled to units.
+
+    High and low bits are summed apart: neither integer overflows below 8e12 rows in one group.
+    """
+    high, low = F.sum(F.shiftright(amount, 20)), F.sum(amount.bitwiseAND(F.lit((1 << 20) - 1)))
+    return ((high.cast("decimal(28,0)") * (1 << 20) + low) / per_unit).cast("double")
 
 
 def _size(balance: Column) -> Column:

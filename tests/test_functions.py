@@ -53,7 +53,8 @@ def test_weighted(spark):
 
 @pytest.mark.parametrize("text, day", [
     ("2025-01", datetime.date(2025, 1, 1)), ("2025-12", datetime.date(2025, 12, 1)), ("2025-1", None),
-    ("2025-13", None), ("", None), (None, None), ("junk", None)])
+    ("2025-13", None), ("", None), (None, None), ("junk", None), ("+2025-1", None), (" 2025-1", None),
+    ("2025-1-", None), ("2025- 1", None), ("2025-01 ", None), ("2025/01", None), ("202-501", None)])
 def test_month_start(spark, text, day):
     assert one(spark, text, "string", dates.month_start) == day
 
@@ -81,9 +82,15 @@ def test_exact_sum_ignores_order_and_partitions(spark):
     assert totals == {30.005}
 
 
-def test_exact_sum_of_numbers_beyond_a_long(spark):
-    df = spark.createDataFrame([(4e15,), (5e15,), (0.25,)], "v double")
-    assert df.agg(exact_sum("v")).first()[0] == 9e15
+def test_exact_sum_of_large_numbers(spark):
+    df = spark.createDataFrame([(4e15,), (5e15,), (0.25,), (-1.5,)], "v double")
+    assert df.agg(exact_sum("v")).first()[0] == 8999999999999998.75
+
+
+def test_exact_sum_stops_rather_than_wraps(spark):
+    df = spark.createDataFrame([(9e18,), (9e18,)], "v double")
+    with pytest.raises(Exception, match="(?i)overflow"):
+        df.agg(exact_sum("v")).first()
 
 
 def test_exact_avg_skips_nulls(spark):

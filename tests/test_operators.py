@@ -114,7 +114,7 @@ def test_share_of_total_both_ways_agree_on_a_hot_group(spark):
 
 def test_share_of_all(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 3.0)], "k int, v double")
-    assert rows(shares.share_of_all(df, "v", "s")) == [(1, 1.0, 0.25), (2, 3.0, 0.75)]
+    assert rows(shares.share_of_all(df, {"v": "s"})) == [(1, 1.0, 0.25), (2, 3.0, 0.75)]
 
 
 # --- ranking ---
