@@ -147,7 +147,7 @@ class SampleInputs:
             "agency_id", "country", "country_code", "year", "cloud_provider", "spend_usd")
 
     def migration_summary(self) -> DataFrame:
-        cents, early = _cents("l_extendedprice"), F.col("l_shipdate") < F.lit(CUTOVER).cast("timestamp")
+        cents, early = _cents("l_extendedprice"), F.to_date("l_shipdate") < F.lit(CUTOVER).cast("date")
         heavy = F.col("l_quantity") > 40
         pre, post = F.col("pre_migration_cost_usd"), F.col("post_migration_cost_usd")
         moved = F.col("agency_id") % 2 == 0
