@@ -4,22 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import simhash
+from cloudtally.llm import bpe, simhash
 from cloudtally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op8_bpe_encode_decode)}
 
 
 def oracle_sql() -> dict[str, str]:
