@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, simhash
+from cloudtally.llm import bpe, mixing, simhash
 from cloudtally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,12 @@ def op8_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op8_bpe_encode_decode)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op8_bpe_encode_decode, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
