@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mixing, simhash, vectors
-from cloudtally.llm.common import table
+from cloudtally.llm import bpe, mixing, simhash, vectors, warc
+from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,12 @@ def op2_subspace_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path).drop("problem")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -34,8 +40,23 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_subspace_pigeonhole_join, op4_simhash_near_dedup, op8_bpe_encode_decode, op9_mixing)}
+    return {f.__name__: f for f in (op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op8_bpe_encode_decode, op9_mixing)}
+
+
+# Base32 by five of a digest's 160 bits at a time.
+_WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+     d AS (SELECT page_id, octet_length(b) AS payload_bytes, b, sha1(b) AS hex FROM p),
+     w AS (SELECT *, max(page_id) OVER (PARTITION BY b) AS last FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+           (CAST('0x' || substr(hex || '0', 1 + CAST((5 * i) // 4 AS INT), 2) AS INT)
+            >> (3 - (5 * i) % 4)) & 31) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM w
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc_segments": _WARC}
