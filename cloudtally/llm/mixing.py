@@ -105,7 +105,7 @@ def _running(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = 3.0, block_words: int = 64,
-        shard_slots: int = 16384, bucket_docs: int = 2048, seed: int = 7, max_sources: int = 1_000_000) -> Mix:
+        shard_slots: int = 16384, bucket_docs: int = 256, seed: int = 7, max_sources: int = 1_000_000) -> Mix:
     """Draws a mix as large as all documents together.
 
     Sources in code-point order, null last, get the weights in turn. Documents of a source are ordered by a hash,
