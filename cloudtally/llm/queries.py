@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mixing, simhash, vectors, warc
+from cloudtally.llm import bpe, mixing, simhash, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -40,7 +44,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op8_bpe_encode_decode, op9_mixing)}
+    return {f.__name__: f for f in (op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op7_winnowing, op8_bpe_encode_decode, op9_mixing)}
 
 
 # Base32 by five of a digest's 160 bits at a time.
