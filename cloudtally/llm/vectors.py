@@ -60,6 +60,7 @@ def plan(sample: np.ndarray, rows: int, cosine: float, width: int, cell_rows: in
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float64)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -85,8 +86,8 @@ def cells(p: Plan, turned: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarr
     return row[keep], cell[keep], own[keep]
 
 
-def _keyed(vectors: DataFrame) -> DataFrame:
-    """vec_id, key, raw, dims for usable vectors; key is a digest of the values, raw their doubles."""
+def _keyed(vectors: DataFrame, kind: str) -> DataFrame:
+    """vec_id, key, raw, dims for usable vectors; key is a digest of the values, raw their bytes as numpy's `kind`."""
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             keys, raws, dims = [], [], []
@@ -94,7 +95,7 @@ def _keyed(vectors: DataFrame) -> DataFrame:
                 x = np.array([np.nan if c is None else c for c in v or []], np.float64) + 0.0
                 with np.errstate(over="ignore"):
                     usable = len(x) and np.isfinite(x).all() and 0 < np.dot(x, x) < np.inf
-                raw = x.tobytes() if usable else None
+                raw = x.astype(kind).tobytes() if usable else None
                 raws.append(raw)
                 keys.append(hashlib.blake2b(raw, digest_size=16).digest() if usable else None)
                 dims.append(len(x) if usable else 0)
@@ -106,8 +107,8 @@ def _keyed(vectors: DataFrame) -> DataFrame:
                        "vec_id long, key binary, raw binary, dims int")
 
 
-def _array(raws, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(raws), np.float64).reshape(-1, dims)
+def _array(raws, dims: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(raws), kind).reshape(-1, dims)
 
 
 def _found(p: Plan, block: int, a: np.ndarray, b: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -162,16 +163,16 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _near(reps: DataFrame, dims: int, rows: int, cosine: float, width: int, cell_rows: int, sample_rows: int,
-          seed: int) -> DataFrame:
+          seed: int, kind: str) -> DataFrame:
     """`kind`, `a`, `b`: for links counted, a vector and how many others it links with; for edges, both ends."""
     reps = reps.filter(F.col("dims") == dims).select("rep", "copies", "raw")
     some = reps.orderBy(F.xxhash64("rep"), "rep").limit(sample_rows).select("raw").collect()
-    p = plan(unit(_array([bytes(r.raw) for r in some], dims)), rows, cosine, width, cell_rows, seed)
+    p = plan(unit(_array([bytes(r.raw) for r in some], dims, kind)), rows, cosine, width, cell_rows, seed)
     salts = 1 << 20
 
     def count():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            turned = unit(_array(batch.column(2).to_pylist(), dims)).astype(np.float32) @ p.rotation
+            turned = unit(_array(batch.column(2).to_pylist(), dims, kind)).astype(np.float32) @ p.rotation
             keys = [block << 40 | cells(p, turned, block)[1] for block in range(p.blocks)]
             key, n = np.unique(np.concatenate(keys), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
@@ -184,7 +185,7 @@ def _near(reps: DataFrame, dims: int, rows: int, cosine: float, width: int, cell
     def deal():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = batch.column(0).to_numpy()
-            turned = unit(_array(batch.column(2).to_pylist(), dims)).astype(np.float32) @ p.rotation
+            turned = unit(_array(batch.column(2).to_pylist(), dims, kind)).astype(np.float32) @ p.rotation
             salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
             out = []
             for block in range(p.blocks):
@@ -210,7 +211,7 @@ def _near(reps: DataFrame, dims: int, rows: int, cosine: float, width: int, cell
         i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
         ids, copies = frame["rep"].to_numpy(), frame["copies"].to_numpy()
         own, part = frame["own"].to_numpy(), frame["part"].to_numpy()
-        vectors = unit(_array(frame["raw"], dims))
+        vectors = unit(_array(frame["raw"], dims, kind))
         home, guest = own, ~own
         if i == j:
             tasks = [(home, None), (home, guest)]
@@ -246,7 +247,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, width: int = 8, ce
     components, link with nothing; so do vectors of different lengths. Rows without an id, and all rows of an id that
     repeats with other values, are vectors of their own for counting; a component is named by its smallest id.
     """
-    keyed = cut(_keyed(vectors))
+    kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
+    keyed = cut(_keyed(vectors, kind))
     groups = keyed.filter("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     # Numbers the distinct vectors apart from the ids, which may be null or repeat.
     distinct = (keyed.filter("key is not null").select("key", "raw", "dims").dropDuplicates(["key"])
@@ -256,7 +258,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, width: int = 8, ce
     lengths = {r.dims: r["count"] for r in reps.groupBy("dims").count().collect()}
     found = None
     for dims, rows in sorted(lengths.items()):
-        one = _near(reps, dims, rows, cosine, width, cell_rows, sample_rows, seed)
+        one = _near(reps, dims, rows, cosine, width, cell_rows, sample_rows, seed, kind)
         found = one if found is None else found.union(one)
     if found is None:
         found = keyed.sparkSession.createDataFrame([], "kind long, a long, b long")
