@@ -53,6 +53,16 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))
 
 
+def labelled_sample(labels: DataFrame, label: str, most: int) -> DataFrame:
+    """`doc_id`, `label` of at most `most` documents outside the held-out fold, those of the lowest hashed id.
+
+    Rows without a label or id are left out; of several labels of one document the largest counts.
+    """
+    own = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
+    return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
                 schema: str) -> DataFrame:
     """`make()` is called once per task and returns what turns one Arrow batch into another.

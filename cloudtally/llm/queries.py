@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mixing, simhash, vectors, warc, winnow
+from cloudtally.llm import bpe, mil, mixing, pu, simhash, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_attention_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mil.score(docs, mil.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_subspace_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -43,8 +48,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pu.score(docs, pu.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op7_winnowing, op8_bpe_encode_decode, op9_mixing)}
+    return {f.__name__: f for f in (
+        op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op7_winnowing,
+        op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity)}
 
 
 # Base32 by five of a digest's 160 bits at a time.
