@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mil, mixing, pu, simhash, vectors, warc, winnow
+from cloudtally.llm import bpe, mil, mixing, pii, pu, simhash, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,17 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_pii_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.spans(docs, pii.fit(docs))
+
+    def count(number: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{pii.KINDS[number]}")
+    return found.select("doc_id", *map(count, range(len(pii.KINDS))),
+                        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_likeness(table(spark, sf_dir, "documents"))
 
@@ -55,8 +66,8 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op7_winnowing,
-        op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity)}
+        op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup,
+        op6_pii_boosted_candidates, op7_winnowing, op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity)}
 
 
 # Base32 by five of a digest's 160 bits at a time.
