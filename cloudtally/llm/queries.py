@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mil, mixing, pii, pu, simhash, vectors, warc, winnow
+from cloudtally.llm import bpe, mil, mixing, packing, pii, pu, simhash, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -36,6 +37,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "packs")
+    packing.write_packs(packing.pack(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN), path)
+    return packing.digests(spark.read.parquet(path))
+
+
 def op6_pii_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.spans(docs, pii.fit(docs))
@@ -66,7 +73,7 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup,
+        op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op5_token_packing,
         op6_pii_boosted_candidates, op7_winnowing, op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity)}
 
 
