@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 
 def linear_forecast(df: DataFrame, entity: str, index: str, value: str, horizon: int,
-                    z_80: float, z_95: float) -> DataFrame:
+                    z_80: float, z_95: float, date: str | None = None) -> DataFrame:
     """Forecast ``horizon`` steps per entity from a least-squares line of value on index.
 
+    With ``date``, each step also has the month it is for, counted from the entity's last one.
+
     One aggregation: no model object, no Python, and the sums combine on the map side. The line needs two
     rows, the bands three; without them the columns are NULL.
     """
@@ -22,6 +24,7 @@ def linear_forecast(df: DataFrame, entity: str, index: str, value: str, horizon:
         F.regr_intercept(y, x).alias("intercept"),
         F.regr_sxx(y, x).alias("sxx"),
         F.regr_syy(y, x).alias("syy"),
+        *([F.max(date).alias("last_date")] if date else []),
     )
     n, sxx = F.col("n").cast("double"), F.nullif(F.col("sxx"), F.lit(0.0))
     rest = F.greatest(F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx"), F.lit(0.0))
@@ -34,7 +37,8 @@ def linear_forecast(df: DataFrame, entity: str, index: str, value: str, horizon:
         fit.withColumn("spread", spread)
         .select("*", steps)
         .select(
-            entity, "step", point.alias("forecast"),
+            entity, "step", *([F.add_months("last_date", F.col("step")).alias("forecast_month")] if date else []),
+            point.alias("forecast"),
             (point - error * z_80).alias("low_80"), (point + error * z_80).alias("high_80"),
             (point - error * z_95).alias("low_95"), (point + error * z_95).alias("high_95"),
         )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cloudtally.functions.exact import ratio
+
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, name: str) -> DataFrame:
     """The first ``k`` rows of a total order, numbered. Each task keeps k rows; the numbering sees k rows."""
@@ -19,14 +21,31 @@ def top_k_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: i
     return numbered.filter(F.col(name) <= k)
 
 
-def rank_points(df: DataFrame, points: str, name: str, max_points: int = 10_000) -> DataFrame:
-    """Rank every row by whole-number points in 0..max_points, highest first, ties alike (1, 1, 3).
+def ranks(df: DataFrame, value: str, name: str, descending: bool = False, percent: bool = False,
+          ranges: int = 256) -> DataFrame:
+    """The rank of each value (``_v``), ties alike (1, 1, 3), or with ``percent`` as (rank - 1) / (rows - 1).
 
-    A plain global rank sorts the table in one task. The points have at most ``max_points + 1`` values,
-    so rows are counted per value, the counts are accumulated, and the small table of ranks is
-    broadcast back.
+    A plain global rank sorts the table in one task. Here rows are counted per value, the values fall into
+    ranges at approximate quantiles, the counts of the few ranges are accumulated, and only values of one range are
+    sorted together. The result is exact whatever the quantiles are. NULL ranks last. ``df`` is read three times.
     """
-    counts = df.groupBy(points).agg(F.count("*").alias("_n")).filter(F.col(points).between(0, max_points))
-    better = F.sum("_n").over(Window.orderBy(F.col(points).desc()).rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(points, (F.coalesce(better, F.lit(0)) + 1).alias(name))
-    return df.join(F.broadcast(ranks), points, "left")
+    counts = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    edges = counts.agg(F.percentile_approx("_v", shares, F.lit(100 * ranges)).alias("e")).scalar()
+    below = F.size(F.filter(F.coalesce("_e", F.array().cast("array<double>")), lambda e: e <= F.col("_v")))
+    placed = counts.withColumn("_e", edges).withColumn(
+        "_range", F.when(F.col("_v").isNull(), -1 if descending else ranges).otherwise(below)).drop("_e")
+    direction = F.col("_range").desc() if descending else F.col("_range").asc()
+    whole = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_range").agg(F.sum("_n").alias("_m")).select(
+        "_range", F.coalesce(F.sum("_m").over(whole), F.lit(0)).alias("_base"), F.sum("_m").over(Window.partitionBy()).alias("_all"))
+    order = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
+    inner = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_base") + F.coalesce(F.sum("_n").over(inner), F.lit(0))
+    rank = F.coalesce(ratio(before.cast("double"), F.col("_all") - 1), F.lit(0.0)) if percent else before + 1
+    return placed.join(F.broadcast(totals), "_range").select("_v", rank.alias(name))
+
+
+def with_ranks(df: DataFrame, ranked: DataFrame, value: str) -> DataFrame:
+    """Rows with the rank of their value."""
+    return df.join(ranked, F.col(value).eqNullSafe(F.col("_v")), "left").drop("_v")

@@ -25,6 +25,11 @@ def by_month(entity: Sequence[str], date: str = "date_key") -> WindowSpec:
     return Window.partitionBy(*entity).orderBy(F.col(date).asc_nulls_last())
 
 
+def dated(df: DataFrame, date: str = "date_key") -> DataFrame:
+    """The rows that have a month. Rows whose month did not parse have no place in a series."""
+    return df.filter(F.col(date).isNotNull())
+
+
 def rolling_avg(value: str, order: WindowSpec, rows: int) -> Column:
     """Mean over the current row and the ``rows - 1`` before it."""
     return exact_avg(value, over=order.rowsBetween(1 - rows, Window.currentRow))
@@ -67,17 +72,23 @@ def month_index(df: DataFrame, entity: Sequence[str], date: str = "date_key", na
     return df.withColumn(name, F.row_number().over(by_month(entity, date)))
 
 
+def year_end(date: str, first_month: int) -> Column:
+    """A month moved so that its calendar year is that in which its fiscal year ends."""
+    return F.add_months(date, (13 - first_month) % 12)
+
+
 def run_rate(df: DataFrame, entity: Sequence[str], value: str, date: str = "date_key",
-             count_months: bool = False) -> DataFrame:
+             count_months: bool = False, first_month: int = 1) -> DataFrame:
     """Year-to-date total, its monthly mean and its projection to twelve months, per entity and year.
 
-    ``months_elapsed`` is the largest month number of the year; with ``count_months`` it is the number
-    of months that have rows, which differs for a start in mid-year. Input: one row per entity and month.
+    Years begin in ``first_month`` and are named by the calendar year they end in. ``months_elapsed`` is the
+    largest month number of the year; with ``count_months`` it is the number of months that have rows, which
+    differs for a start in mid-year. Input: one row per entity and month.
     """
-    months = F.count(date) if count_months else F.max(F.month(date))
+    months = F.count(date) if count_months else F.max(F.month(F.add_months(date, 1 - first_month)))
     ytd, elapsed = F.col("ytd_spend"), F.col("months_elapsed")
     return (
-        df.groupBy(*entity, F.date_format(date, "yyyy").alias("fiscal_year"))
+        df.groupBy(*entity, F.date_format(year_end(date, first_month), "yyyy").alias("fiscal_year"))
         .agg(months.cast("int").alias("months_elapsed"), exact_sum(value).alias("ytd_spend"))
         .select(
             *entity, "fiscal_year", "months_elapsed", "ytd_spend",

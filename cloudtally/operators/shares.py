@@ -46,11 +46,3 @@ def pivot_sum(df: DataFrame, by: Sequence[str], key: str, value: str, names: dic
 
 def sum_where(value: str, condition: Column) -> Column:
     return exact_sum(F.when(condition, F.col(value)).otherwise(F.lit(0.0)))
-
-
-def squared_share_index(shares: Sequence[Column]) -> Column:
-    """Sum of squared shares: 1 for a single provider, 1/n for n equal ones."""
-    total = None
-    for share in shares:
-        total = share * share if total is None else total + share * share
-    return total

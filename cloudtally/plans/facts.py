@@ -129,7 +129,12 @@ def fact_tagging_compliance(tagging: DataFrame, date: DataFrame) -> DataFrame:
 
 def fact_finance_governance(tagging: DataFrame, date: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Tagging with its gap to 100 % and a flag below the required share."""
-    return fact_tagging_compliance(tagging, date).withColumns({
+    return governance_of(fact_tagging_compliance(tagging, date), limits)
+
+
+def governance_of(tagging_fact: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The same from the tagging fact, so that the raw text need not be read again."""
+    return tagging_fact.select("agency_id", "date_key", "tagged_pct", "untagged_cost_usd").withColumns({
         "tagging_gap": 100 - F.col("tagged_pct"),
         "governance_risk_flag": flag(F.col("tagged_pct") < limits.min_tagged_pct),
     })
@@ -156,7 +161,7 @@ def monthly_spend(cost_fact: DataFrame) -> DataFrame:
 
 
 def fact_forecast_input(cost_fact: DataFrame) -> DataFrame:
-    """The monthly series of each agency, its months numbered from 1."""
+    """The monthly series of each agency, its months numbered from 1; a row without a month comes last."""
     return month_index(monthly_spend(cost_fact), ["agency_id"]).select(
         "agency_id", "date_key", "monthly_cost", "month_index")
 

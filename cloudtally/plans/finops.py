@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cloudtally.functions.exact import exact_avg, exact_sum, flag, ratio
+from cloudtally.functions.exact import MONEY_DIGITS, exact_avg, exact_sum, flag, ratio
 from cloudtally.limits import PROVIDERS, SERVICES, Limits
 from cloudtally.operators.forecast import linear_forecast
 from cloudtally.operators.keys import lookup
-from cloudtally.operators.ranking import rank_points, top_k
-from cloudtally.operators.series import by_month, growth, longest_run, rolling_sum, running_sum, to_grain
-from cloudtally.operators.shares import pivot_sum, share_of_all, share_of_total, squared_share_index
+from cloudtally.operators.ranking import ranks, top_k, with_ranks
+from cloudtally.operators.series import (
+    by_month,
+    dated,
+    growth,
+    longest_run,
+    rolling_sum,
+    running_sum,
+    to_grain,
+    year_end,
+)
+from cloudtally.operators.shares import pivot_sum, share_of_all, share_of_total
 from cloudtally.plans.facts import monthly_spend, with_date_key
+from cloudtally.session import stored
 
 
 def actual_spend(cost_fact: DataFrame, agency: DataFrame) -> DataFrame:
@@ -42,10 +52,17 @@ def _with_variance(df: DataFrame, actual: str, budget: str, name: str, share: st
     return df.withColumn(name, F.col(actual) - F.col(budget)).withColumn(share, ratio(F.col(name), F.col(budget)))
 
 
-def budget_variance_ytd(variance: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Running totals within each agency's year, coloured by the overrun."""
+def budget_over_time(variance: DataFrame) -> DataFrame:
+    """The portfolio's actual and budgeted spend by month."""
+    monthly = dated(variance).groupBy("date_key").agg(
+        exact_sum("actual_usd").alias("actual_usd"), exact_sum("budget_usd").alias("budget_usd"))
+    return _with_variance(monthly, "actual_usd", "budget_usd", "variance_usd", "variance_pct")
+
+
+def budget_variance_ytd(variance: DataFrame, limits: Limits = Limits(), first_month: int = 1) -> DataFrame:
+    """Running totals within each agency's year, coloured by the overrun. Years begin in ``first_month``."""
     order = Window.partitionBy("agency_id", "fiscal_year").orderBy(F.col("date_key").asc_nulls_last())
-    running = variance.withColumn("fiscal_year", F.year("date_key")).select(
+    running = variance.withColumn("fiscal_year", F.year(year_end("date_key", first_month))).select(
         "agency_id", "fiscal_year", "date_key",
         running_sum("actual_usd", order).alias("ytd_actual_usd"),
         running_sum("budget_usd", order).alias("ytd_budget_usd"))
@@ -73,7 +90,7 @@ def spike_drivers(cost_fact: DataFrame) -> DataFrame:
     """
     names = [*SERVICES, "Other"]
     service = F.coalesce(F.when(F.col("service_type").isin(*SERVICES), F.col("service_type")), F.lit("Other"))
-    wide = pivot_sum(cost_fact.withColumn("_service", service), ["agency_id", "date_key"], "_service", "cost_usd",
+    wide = pivot_sum(dated(cost_fact).withColumn("_service", service), ["agency_id", "date_key"], "_service", "cost_usd",
                      {n: n for n in names})
     order = by_month(["agency_id"])
     rises = wide.select("agency_id", "date_key", *[(F.col(n) - F.lag(n).over(order)).alias(n) for n in names])
@@ -93,10 +110,10 @@ def spike_drivers(cost_fact: DataFrame) -> DataFrame:
 
 def spend_forecast(forecast_input: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Linear trend per agency with 80 % and 95 % bands, to whole cents."""
-    ahead = linear_forecast(forecast_input, "agency_id", "month_index", "monthly_cost", limits.forecast_horizon,
-                            limits.band_z_80, limits.band_z_95)
+    ahead = linear_forecast(dated(forecast_input), "agency_id", "month_index", "monthly_cost", limits.forecast_horizon,
+                            limits.band_z_80, limits.band_z_95, date="date_key")
     values = ("forecast", "low_80", "high_80", "low_95", "high_95")
-    return ahead.select("agency_id", "step", *[F.round(v, 2).alias(v) for v in values])
+    return ahead.select("agency_id", "step", "forecast_month", *[F.round(v, 2).alias(v) for v in values])
 
 
 def spend_trend(cost_fact: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -119,7 +136,7 @@ def latest_growth(cost_fact: DataFrame) -> DataFrame:
     """Each agency's growth in its latest month."""
     order = by_month(["agency_id"])
     return (
-        monthly_spend(cost_fact).filter(F.col("date_key").isNotNull())
+        monthly_spend(dated(cost_fact))
         .withColumns({
             "previous_cost": F.lag("monthly_cost").over(order),
             "_next": F.lead("date_key").over(order),
@@ -138,8 +155,8 @@ def top_growth_agencies(cost_fact: DataFrame, k: int = 10) -> DataFrame:
 def acceleration_concentration(cost_fact: DataFrame, k: int = 2) -> DataFrame:
     """The k agencies with the largest sum of month-on-month increases, and their share of all increases."""
     rise = F.col("monthly_cost") - F.lag("monthly_cost").over(by_month(["agency_id"]))
-    increases = monthly_spend(cost_fact).withColumn("_rise", F.greatest(rise, F.lit(0.0))).groupBy("agency_id").agg(
-        exact_sum("_rise").alias("increase_usd"))
+    increases = monthly_spend(dated(cost_fact)).withColumn("_rise", F.greatest(rise, F.lit(0.0))).groupBy("agency_id").agg(
+        exact_sum("_rise", MONEY_DIGITS).alias("increase_usd"))
     known = increases.filter(F.col("increase_usd").isNotNull())
     order = [F.col("increase_usd").desc(), F.col("agency_id").asc()]
     top = top_k(share_of_all(known, {"increase_usd": "share_of_increase"}), order, k, "increase_rank")
@@ -190,7 +207,7 @@ def waste_by_service(cost_fact: DataFrame, limits: Limits = Limits()) -> DataFra
 
 def unmatched_spend(cost_fact: DataFrame) -> DataFrame:
     """Spend of months in which a service cost more without more utilisation or compute, per agency."""
-    monthly = cost_fact.groupBy("agency_id", "service_type", "date_key").agg(
+    monthly = dated(cost_fact).groupBy("agency_id", "service_type", "date_key").agg(
         exact_sum("cost_usd").alias("cost_usd"), exact_avg("utilisation_pct").alias("utilisation_pct"),
         exact_sum("compute_hours").alias("compute_hours"))
     order = by_month(["agency_id", "service_type"])
@@ -245,18 +262,27 @@ def provider_pivot(provider_fact: DataFrame) -> DataFrame:
 
 
 def provider_concentration(provider_fact: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Dependence on one provider, or spread over many, per agency and year."""
-    shares = [F.col(f"{p.lower()}_share") for p in PROVIDERS]
-    dominant = F.greatest(*[F.struct(s.alias("share"), F.lit(p).alias("provider")) for s, p in zip(shares, PROVIDERS)])
-    index = F.col("concentration_index")
+    """Dependence on one provider, or spread over many, per agency and year, over all providers there are.
+
+    Spend without a provider is one of its own, ``Unknown``. Of providers with equal spend the last by name
+    dominates. The shares of the known three are shown besides.
+    """
+    own = F.coalesce("cloud_provider", F.lit("Unknown")).alias("_provider")
+    spend = provider_fact.groupBy("agency_id", "year", own).agg(exact_sum("spend_usd").alias("_spend"))
+    shared = share_of_total(spend, "_spend", ["agency_id", "year"], "_share")
+
+    def named(provider: str) -> Column:
+        found = F.max(F.when(F.col("_provider") == provider, F.col("_share")))
+        return F.when(F.max("_share").isNotNull(), F.coalesce(found, F.lit(0.0))).alias(f"{provider.lower()}_share")
+    top, index = F.col("_top"), F.col("concentration_index")
     return (
-        _provider_columns(provider_fact, ["agency_id", "year"])
-        .withColumns({"_top": dominant, "concentration_index": squared_share_index(shares)})
+        shared.groupBy("agency_id", "year").agg(
+            *map(named, PROVIDERS), F.max(F.struct("_share", "_provider")).alias("_top"),
+            exact_sum(F.col("_share") * F.col("_share")).alias("concentration_index"))
         .select(
             "agency_id", "year", *[f"{p.lower()}_share" for p in PROVIDERS],
-            F.col("_top.provider").alias("dominant_provider"), F.col("_top.share").alias("dominant_share"),
-            "concentration_index",
-            flag(F.col("_top.share") > limits.high_dependence_share).alias("high_dependence_flag"),
+            top["_provider"].alias("dominant_provider"), top["_share"].alias("dominant_share"), "concentration_index",
+            flag(top["_share"] > limits.high_dependence_share).alias("high_dependence_flag"),
             flag(index <= limits.fragmented_index).alias("fragmented_flag"))
     )
 
@@ -264,23 +290,25 @@ def provider_concentration(provider_fact: DataFrame, limits: Limits = Limits())
 # --- combined ---
 
 def financial_risk_rank(optimisation: DataFrame, variance: DataFrame) -> DataFrame:
-    """All agencies ranked on overrun, waste, untagged and high-risk spend together.
+    """All agencies ranked on overrun, waste, untagged and high-risk spend together, the riskiest first.
 
-    Each part is scaled to the largest agency's, the mean becomes whole points in 0..10,000, and agencies
-    with equal points share a rank.
+    The score is the mean of the four parts' percent ranks; agencies with equal scores share a rank. Agencies
+    with only a budget, or only spend, count as 0 in the parts they lack.
     """
-    overrun = variance.groupBy("agency_id").agg(exact_sum("variance_usd").alias("_variance"))
-    parts = optimisation.join(overrun, "agency_id", "left").select(
+    overrun = variance.groupBy("agency_id").agg(exact_sum("variance_usd", MONEY_DIGITS).alias("_variance"))
+    parts = optimisation.join(overrun, "agency_id", "full").select(
         "agency_id",
         F.greatest(F.coalesce("_variance", F.lit(0.0)), F.lit(0.0)).alias("overrun_usd"),
         F.coalesce(ratio(F.col("idle_usd"), F.col("actual_spend_usd")), F.lit(0.0)).alias("waste_share"),
-        "untagged_usd", "high_risk_usd")
+        *[F.coalesce(n, F.lit(0.0)).alias(n) for n in ("untagged_usd", "high_risk_usd")])
     names = ("overrun_usd", "waste_share", "untagged_usd", "high_risk_usd")
-    largest = parts.agg(F.struct(*[F.max(n).alias(n) for n in names]).alias("m")).scalar()
-    scaled = parts.withColumn("_max", largest)
-    total = None
+    # A row per agency, read by every ranking; the facts behind it are computed once.
+    parts = ranked = stored(parts, "risk-parts")
     for n in names:
-        term = F.coalesce(ratio(F.col(n), F.col(f"_max.{n}")), F.lit(0.0))
-        total = term if total is None else total + term
-    pointed = scaled.withColumn("risk_points", F.floor(total / len(names) * 10_000)).drop("_max")
-    return rank_points(pointed, "risk_points", "risk_rank").select("agency_id", *names, "risk_points", "risk_rank")
+        ranked = with_ranks(ranked, ranks(parts, n, f"_{n}", percent=True), n)
+    total = F.col(f"_{names[0]}")
+    for n in names[1:]:
+        total = total + F.col(f"_{n}")
+    scored = ranked.withColumn("risk_score", total / len(names)).select("agency_id", *names, "risk_score")
+    scored = stored(scored, "risk-scores")
+    return with_ranks(scored, ranks(scored, "risk_score", "risk_rank", descending=True), "risk_score")

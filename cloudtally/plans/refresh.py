@@ -17,13 +17,16 @@ _BY_YEAR = ("year",)
 
 def refresh(spark: SparkSession, inputs: RawInputs, out: str, limits: Limits = Limits(),
             at_grain: bool = False) -> dict[str, DataFrame]:
-    """Build every table under ``out``, which should be a new folder, and return the tables read back.
+    """Build every table under ``out``, a new folder (one that holds tables raises), and return the tables read back.
 
     Dimensions are written first, so that Spark knows their sizes when the facts are joined to them. The
     monthly facts are partitioned by year; cost and performance are made from the written usage fact, so the
     raw text is parsed once. A failed check raises ``QualityError`` before any view is published.
     """
     tables: dict[str, DataFrame] = {}
+    first = spark._jvm.org.apache.hadoop.fs.Path(f"{out.rstrip('/')}/dim_agency_clean")
+    if first.getFileSystem(spark._jsc.hadoopConfiguration()).exists(first):
+        raise ValueError(f"{out} holds tables of another refresh; a failed check must not cost the last good ones")
 
     def keep(name: str, df: DataFrame, by_year: bool = False) -> DataFrame:
         if by_year and "year" not in df.columns:
@@ -47,8 +50,8 @@ def refresh(spark: SparkSession, inputs: RawInputs, out: str, limits: Limits = L
     cost = keep("fact_cost_monthly", facts.cost_of_usage(usage, limits), True)
     performance = keep("fact_performance", facts.fact_performance(usage, date, limits), True)
     keep("fact_migration_summary", facts.fact_migration_summary(raw["migration_summary"], agency))
-    keep("fact_tagging_compliance", facts.fact_tagging_compliance(raw["tagging_compliance"], date), True)
-    keep("fact_finance_governance", facts.fact_finance_governance(raw["tagging_compliance"], date, limits), True)
+    tagging = keep("fact_tagging_compliance", facts.fact_tagging_compliance(raw["tagging_compliance"], date), True)
+    keep("fact_finance_governance", facts.governance_of(tagging, limits), True)
     provider = keep("fact_provider_spend", facts.fact_provider_spend(raw["provider_spend"], at_grain), True)
     tables["fact_provider_finance"] = provider
     keep("fact_forecast_input", facts.fact_forecast_input(cost))

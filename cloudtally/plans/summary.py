@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.functions.exact import exact_avg, exact_sum, ratio
+from cloudtally.functions.exact import MONEY_DIGITS, exact_avg, exact_sum, ratio
 from cloudtally.limits import Limits
 from cloudtally.operators.shares import sum_where
 from cloudtally.plans.reliability import breach_rate_pct, with_stability
@@ -33,7 +33,7 @@ def executive_summary(performance: DataFrame, governance: DataFrame, provider_fa
     ).alias("p")).scalar()
     migration = migration_fact.agg(F.struct(
         F.sum("migration_flag").alias("migrated_agencies"),
-        exact_sum("cost_delta_usd").alias("migration_cost_delta_usd"),
+        exact_sum("cost_delta_usd", MONEY_DIGITS).alias("migration_cost_delta_usd"),
         F.sum("sla_breaches_pre").alias("breaches_before"),
         F.sum("sla_breaches_post").alias("breaches_after")).alias("m")).scalar()
     return service.withColumn("waste_pct", ratio(F.col("idle_cost_usd"), F.col("actual_spend_usd")) * 100) \

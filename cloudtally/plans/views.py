@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cloudtally.functions.exact import flag, ratio
 from cloudtally.functions.scoring import inside, up_to, weighted
 from cloudtally.limits import Limits
-from cloudtally.operators.series import by_month, fill_months, growth, rolling_avg, run_rate, to_grain
+from cloudtally.operators.series import by_month, dated, fill_months, growth, rolling_avg, run_rate, to_grain
 from cloudtally.plans.facts import monthly_spend
 
 
@@ -20,7 +20,7 @@ def v_cost_trends(cost_fact: DataFrame, limits: Limits = Limits(), dense_calenda
     "Previous month" is the previous row; ``dense_calendar`` first adds missing months at zero cost.
     """
     entity = ["agency_id", "service_type"]
-    monthly = to_grain(cost_fact, [*entity, "date_key"], "cost_usd")
+    monthly = to_grain(dated(cost_fact), [*entity, "date_key"], "cost_usd")
     if dense_calendar:
         monthly = fill_months(monthly, entity, "cost_usd")
     order = by_month(entity)
@@ -45,7 +45,7 @@ def v_cost_spikes(cost_fact: DataFrame, entity: Sequence[str] = ("agency_id",),
     Costs are summed per entity and month first, so a month is never compared with another service of
     the same month. Pass ``("agency_id", "service_type")`` for service-level spikes.
     """
-    monthly = to_grain(cost_fact, [*entity, "date_key"], "cost_usd")
+    monthly = to_grain(dated(cost_fact), [*entity, "date_key"], "cost_usd")
     previous = F.lag("cost_usd").over(by_month(entity))
     return monthly.withColumn("spend_growth_pct", growth(F.col("cost_usd"), previous)).select(
         *entity, "date_key", "cost_usd", "spend_growth_pct",
@@ -61,9 +61,10 @@ def v_cloud_waste(cost_fact: DataFrame, limits: Limits = Limits()) -> DataFrame:
         flag(idle).alias("idle_flag"))
 
 
-def v_budget_runrate(cost_fact: DataFrame, count_months: bool = False) -> DataFrame:
-    """Year-end projection from the year's spend so far, per agency and calendar year."""
-    return run_rate(monthly_spend(cost_fact), ["agency_id"], "monthly_cost", count_months=count_months)
+def v_budget_runrate(cost_fact: DataFrame, count_months: bool = False, first_month: int = 1) -> DataFrame:
+    """Year-end projection from the year's spend so far, per agency and year beginning in ``first_month``."""
+    return run_rate(monthly_spend(cost_fact), ["agency_id"], "monthly_cost", count_months=count_months,
+                    first_month=first_month)
 
 
 def v_seasonality_index(cost_fact: DataFrame, limits: Limits = Limits()) -> DataFrame:

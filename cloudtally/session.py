@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,16 +29,26 @@ def local_session(name: str = "cloudtally", cpus: int | str = 8, memory: str = "
     return spark
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read again: for what later steps read several times."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _own_folder: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder the cluster names, so that every executor reaches it.
 
-    Only where no folder is set, in a test session, is a temporary one made and removed at exit.
+    Only a session on this machine alone that names none gets a temporary one, removed at exit; a cluster's
+    executors would each write to a folder of their own there.
     """
     base = spark.conf.get(_CHECKPOINT_DIR, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="cloudtally-"))
             atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)

@@ -12,7 +12,7 @@ def _sum(x: str) -> str:
 
 
 def _avg(x: str) -> str:
-    return f"SUM(CAST({x} AS DECIMAL(18,6)))::DOUBLE / NULLIF(COUNT({x}), 0)"
+    return f"SUM(CAST({x} AS DECIMAL(30,12)))::DOUBLE / NULLIF(COUNT({x}), 0)"
 
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
@@ -26,7 +26,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "places": ((), """
         SELECT s_suppkey::INTEGER AS agency_id, s_name, s_acctbal, n_name AS country,
                'C' || lpad(n_nationkey::VARCHAR, 2, '0') AS country_code, r_name
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""),
+        FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""),
     "agency_once": (("places",), f"""
         SELECT agency_id, s_name AS agency_name, country, country_code, {_SIZE.format('s_acctbal')} AS org_size,
                CASE agency_id % 4 WHEN 0 THEN 'Finance' WHEN 1 THEN 'Health' WHEN 2 THEN 'Justice'
@@ -51,7 +51,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    CASE l_returnflag WHEN 'A' THEN 'IaaS' WHEN 'N' THEN 'PaaS' ELSE 'SaaS' END AS service_type,
                    SUM(l_quantity) AS qty, SUM({_PRICE}) AS gross, SUM({_NET}) AS net, COUNT(*) AS n
             FROM lineitem GROUP BY ALL
-        ) JOIN places USING (agency_id)"""),
+        ) LEFT JOIN places USING (agency_id)"""),
     "tagging_compliance": (("places",), f"""
         SELECT agency_id, country, country_code, month,
                100.0::DOUBLE * tagged / n AS tagged_pct, untagged::DOUBLE AS untagged_cost_usd
@@ -60,7 +60,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    COUNT(*) FILTER (o_orderpriority <> '4-NOT SPECIFIED') AS tagged,
                    SUM(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {_PRICE} ELSE 0 END) AS untagged
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
-        ) JOIN places USING (agency_id)"""),
+        ) LEFT JOIN places USING (agency_id)"""),
     "provider_spend": (("places",), f"""
         SELECT agency_id, country, country_code, year, cloud_provider, spend::DOUBLE AS spend_usd
         FROM (
@@ -68,7 +68,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    CASE o_orderstatus WHEN 'F' THEN 'AWS' WHEN 'O' THEN 'Azure' ELSE 'GCP' END AS cloud_provider,
                    SUM({_PRICE}) AS spend
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
-        ) JOIN places USING (agency_id)"""),
+        ) LEFT JOIN places USING (agency_id)"""),
     "migration_summary": (("places",), f"""
         SELECT agency_id, country, country_code, {_SIZE.format('s_acctbal')} AS org_size,
                CASE WHEN agency_id % 2 = 0 THEN 'Yes' ELSE 'No' END AS migrated,
@@ -85,7 +85,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    COUNT(*) FILTER (l_shipdate < DATE '1998-07-01' AND l_quantity > 40) AS heavy_pre,
                    COUNT(*) FILTER (l_shipdate >= DATE '1998-07-01' AND l_quantity > 40) AS heavy_post
             FROM lineitem GROUP BY ALL
-        ) JOIN places USING (agency_id)"""),
+        ) LEFT JOIN places USING (agency_id)"""),
     "baseline_adoption": ((), f"""
         SELECT n_name AS country, 'C' || lpad(n_nationkey::VARCHAR, 2, '0') AS country_code,
                year(o_orderdate)::INTEGER AS year, {_SIZE.format('c_acctbal')} AS org_size,
@@ -102,8 +102,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                 SELECT l_suppkey::INTEGER AS agency_id, date_trunc('month', l_shipdate)::DATE AS m, SUM({_NET}) AS net
                 FROM lineitem GROUP BY ALL
             ) GROUP BY agency_id
-        ) JOIN places USING (agency_id)
-        WHERE agency_id % 11 <> 3"""),
+        )"""),
     # ---- dimensions ----
     "dim_agency_clean": (("agencies",), """
         SELECT agency_id, MAX(agency_name) AS agency_name, MAX(country) AS country,
@@ -124,7 +123,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "dim_date": (("usage_monthly",), """
         SELECT d AS date_key, month[1:4] AS year, month[6:7] AS month,
                month[1:4] || '-Q' || quarter(d)::VARCHAR AS quarter,
-               CASE WHEN month(d) BETWEEN 4 AND 6 OR month(d) >= 10 THEN 0 ELSE 1 END AS peak_period_flag,
+               -- Peak months are fixed values.
+               CASE WHEN month(d) IN (1, 2, 3, 7, 8, 9) THEN 1 ELSE 0 END AS peak_period_flag,
                (year(d) * 100 + month(d))::INTEGER AS month_key, monthname(d) AS month_name
         FROM (SELECT DISTINCT month, (month || '-01')::DATE AS d FROM usage_monthly)"""),
     # ---- facts ----
@@ -312,10 +312,11 @@ def statements() -> dict[str, str]:
             FROM tagging_compliance t LEFT JOIN dim_date d ON (t.month || '-01')::DATE = d.date_key
             """, "tagging_compliance", "dim_date"),
         "anti_join_orphans": _with("""
-            SELECT u.agency_id, u.month, u.service_type, u.cost_usd, u.country
-            FROM usage_monthly u
-            WHERE u.agency_id NOT IN (SELECT agency_id FROM dim_agency_clean WHERE org_size <> 'Small')""",
-            "usage_monthly", "dim_agency_clean"),
+            SELECT user_id, COUNT(*) AS events, 'customer' AS missing FROM events
+            WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id) GROUP BY user_id
+            UNION ALL
+            SELECT c_custkey, 0::BIGINT, 'event' FROM customer
+            WHERE NOT EXISTS (SELECT 1 FROM events WHERE c_custkey = user_id)"""),
         "topk_preview": _with(f"""
             SELECT agency_id, date_key, service_type, cost_usd, rolling_3m_avg_cost FROM ({_TREND})
             ORDER BY agency_id, date_key, service_type LIMIT 10""", "fact_cost_monthly"),
@@ -341,6 +342,33 @@ def statements() -> dict[str, str]:
             FROM (SELECT agency_id, year(date_key)::VARCHAR AS fiscal_year, MAX(month(date_key))::INTEGER
                          AS months_elapsed, {_sum('monthly_cost')} AS ytd_spend
                   FROM monthly_spend GROUP BY ALL)""", "monthly_spend"),
+        # Years from October to September, named by the year they end in.
+        "v_budget_runrate_fiscal": _with(f"""
+            SELECT agency_id, fiscal_year, months_elapsed, ytd_spend,
+                   ROUND((ytd_spend / NULLIF(months_elapsed, 0) * 12)::DECIMAL(38,6), 2)::DOUBLE AS projected_annual_spend,
+                   ROUND((ytd_spend / NULLIF(months_elapsed, 0))::DECIMAL(38,6), 2)::DOUBLE AS avg_monthly_burn
+            FROM (SELECT agency_id, (year(date_key) + IF(month(date_key) >= 10, 1, 0))::VARCHAR AS fiscal_year,
+                         COUNT(date_key)::INTEGER AS months_elapsed, {_sum('monthly_cost')} AS ytd_spend
+                  FROM monthly_spend GROUP BY ALL)""", "monthly_spend"),
+        "v_cost_trends_dense": _with("""
+            SELECT agency_id, date_key, service_type, cost_usd,
+                   SUM(CAST(cost_usd AS DECIMAL(18,4))) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)::DOUBLE
+                       / COUNT(cost_usd) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3m_avg_cost,
+                   ROUND((cost_usd - LAG(cost_usd) OVER w) / NULLIF(LAG(cost_usd) OVER w, 0) * 100, 2) AS mom_growth_pct,
+                   COALESCE((cost_usd - LAG(cost_usd) OVER w) / NULLIF(LAG(cost_usd) OVER w, 0) * 100 > 15, FALSE)::INTEGER
+                       AS spend_acceleration_flag
+            FROM (SELECT agency_id, service_type, date_key, COALESCE(f.cost_usd, 0) AS cost_usd
+                  FROM (SELECT agency_id, service_type, unnest(generate_series(
+                                   MIN(date_key)::TIMESTAMP, MAX(date_key)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS date_key
+                        FROM fact_cost_monthly GROUP BY agency_id, service_type)
+                  LEFT JOIN fact_cost_monthly f USING (agency_id, service_type, date_key))
+            WINDOW w AS (PARTITION BY agency_id, service_type ORDER BY date_key)""", "fact_cost_monthly"),
+        "v_cost_spikes_by_service": _with("""
+            SELECT agency_id, service_type, date_key, cost_usd, g AS spend_growth_pct,
+                   COALESCE(g > 0.25, FALSE)::INTEGER AS spike_flag
+            FROM (SELECT *, (cost_usd - LAG(cost_usd) OVER w) / NULLIF(LAG(cost_usd) OVER w, 0) AS g
+                  FROM fact_cost_monthly WINDOW w AS (PARTITION BY agency_id, service_type ORDER BY date_key))""",
+            "fact_cost_monthly"),
         "v_seasonality_index": _with("""
             SELECT agency_id, date_key, monthly_cost AS monthly_spend, base AS rolling_6m_avg,
                    ROUND(monthly_cost / NULLIF(base, 0), 3) AS seasonality_index,
@@ -523,17 +551,19 @@ def _finops() -> dict[str, str]:
     wide += " FROM fact_cost_monthly GROUP BY ALL"
     rises = "SELECT agency_id, date_key, " + ", ".join(f"{s} - LAG({s}) OVER w AS {s}" for s in services)
     rises += f" FROM ({wide}) WINDOW w AS (PARTITION BY agency_id ORDER BY date_key)"
-    scaled = " + ".join(f"COALESCE({c} / NULLIF(MAX({c}) OVER (), 0), 0)"
-                        for c in ("overrun_usd", "waste_share", "untagged_usd", "high_risk_usd"))
-    shares = ", ".join(f"{p} / NULLIF(gcp + aws + azure, 0) AS {p}_share" for p in ("aws", "azure", "gcp"))
-    shares = shares.replace("gcp + aws + azure", "0::DOUBLE + aws + azure + gcp")
+    shares = ", ".join(f"{p} / NULLIF(0::DOUBLE + aws + azure + gcp, 0) AS {p}_share" for p in ("aws", "azure", "gcp"))
+    known = ", ".join(f"COALESCE(MAX(IF(provider = '{p}', share, NULL)), 0) AS {p.lower()}_share"
+                      for p in ("AWS", "Azure", "GCP"))
+    parts = ("overrun_usd", "waste_share", "untagged_usd", "high_risk_usd")
+    risk = " + ".join(f"PERCENT_RANK() OVER (ORDER BY {c})" for c in parts)
     fit = """
-        SELECT agency_id, COUNT(*) AS n, regr_avgx(y, x) AS mx, MAX(x) AS last_x, regr_slope(y, x) AS b,
+        SELECT agency_id, COUNT(*) AS n, MAX(date_key) AS last_month, regr_avgx(y, x) AS mx, MAX(x) AS last_x, regr_slope(y, x) AS b,
                regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy
-        FROM (SELECT agency_id, month_index::DOUBLE AS x, monthly_cost AS y FROM fact_forecast_input)
+        FROM (SELECT agency_id, date_key, month_index::DOUBLE AS x, monthly_cost AS y FROM fact_forecast_input
+              WHERE date_key IS NOT NULL)
         GROUP BY agency_id"""
     ahead = f"""
-        SELECT agency_id, step, a + b * (last_x + step) AS p,
+        SELECT agency_id, step, (last_month + to_months(step))::DATE AS forecast_month, a + b * (last_x + step) AS p,
                CASE WHEN n >= 3 THEN sqrt(greatest(syy - b * b * sxx, 0) / (n - 2))
                    * sqrt(1 + 1.0::DOUBLE / n + pow(last_x + step - mx, 2) / sxx) END AS e
         FROM ({fit}), (SELECT unnest(range(1, 7))::INTEGER AS step)"""
@@ -566,7 +596,7 @@ def _finops() -> dict[str, str]:
                   FROM ({rises}))
             WHERE total > 0""", "fact_cost_monthly"),
         "spend_forecast": _with(f"""
-            SELECT agency_id, step, ROUND(p, 2) AS forecast,
+            SELECT agency_id, step, forecast_month, ROUND(p, 2) AS forecast,
                    ROUND(p - 1.2816::DOUBLE * e, 2) AS low_80, ROUND(p + 1.2816::DOUBLE * e, 2) AS high_80,
                    ROUND(p - 1.96::DOUBLE * e, 2) AS low_95, ROUND(p + 1.96::DOUBLE * e, 2) AS high_95
             FROM ({ahead})""", "fact_forecast_input"),
@@ -635,24 +665,30 @@ def _finops() -> dict[str, str]:
             FROM (SELECT year, {_sum('aws')} AS aws, {_sum('azure')} AS azure, {_sum('gcp')} AS gcp
                   FROM provider_wide GROUP BY year)""", "provider_wide"),
         "provider_concentration": _with(f"""
-            SELECT agency_id, year, aws_share, azure_share, gcp_share, dominant_share,
-                   CASE dominant_share WHEN gcp_share THEN 'GCP' WHEN azure_share THEN 'Azure' ELSE 'AWS' END
-                       AS dominant_provider,
-                   aws_share * aws_share + azure_share * azure_share + gcp_share * gcp_share AS concentration_index,
-                   IF(dominant_share > 0.7, 1, 0) AS high_dependence_flag,
-                   IF(aws_share * aws_share + azure_share * azure_share + gcp_share * gcp_share <= 0.4, 1, 0)
-                       AS fragmented_flag
-            FROM (SELECT *, greatest(aws_share, azure_share, gcp_share) AS dominant_share
-                  FROM (SELECT agency_id, year, {shares} FROM provider_wide))""", "provider_wide"),
+            SELECT agency_id, year, {known}, MAX(share) AS dominant_share,
+                   arg_max(provider, (share, provider)) AS dominant_provider,
+                   SUM(CAST(share * share AS DECIMAL(30,12)))::DOUBLE AS concentration_index,
+                   IF(MAX(share) > 0.7, 1, 0) AS high_dependence_flag,
+                   IF(SUM(CAST(share * share AS DECIMAL(30,12)))::DOUBLE <= 0.4, 1, 0) AS fragmented_flag
+            FROM (SELECT agency_id, year, provider, spend / NULLIF(
+                             SUM(CAST(spend AS DECIMAL(18,4))) OVER (PARTITION BY agency_id, year)::DOUBLE, 0) AS share
+                  FROM (SELECT agency_id, year, COALESCE(cloud_provider, 'Unknown') AS provider,
+                               {_sum('spend_usd')} AS spend FROM provider_spend GROUP BY ALL))
+            GROUP BY ALL""", "provider_spend"),
         "financial_risk_rank": _with(f"""
-            SELECT *, RANK() OVER (ORDER BY risk_points DESC) AS risk_rank
-            FROM (SELECT *, floor(({scaled}) / 4 * 10000)::BIGINT AS risk_points
+            SELECT *, RANK() OVER (ORDER BY risk_score DESC) AS risk_rank
+            FROM (SELECT *, ({risk}) / 4 AS risk_score
                   FROM (SELECT agency_id, greatest(COALESCE(v, 0), 0) AS overrun_usd,
-                               COALESCE(idle_usd / NULLIF(actual_spend_usd, 0), 0) AS waste_share, untagged_usd,
-                               high_risk_usd
-                        FROM optimisation_total LEFT JOIN (
+                               COALESCE(idle_usd / NULLIF(actual_spend_usd, 0), 0) AS waste_share,
+                               COALESCE(untagged_usd, 0) AS untagged_usd, COALESCE(high_risk_usd, 0) AS high_risk_usd
+                        FROM optimisation_total FULL JOIN (
                             SELECT agency_id, {_sum('variance_usd')} AS v FROM budget_variance GROUP BY agency_id)
                             USING (agency_id)))""", "optimisation_total", "budget_variance"),
+        "budget_over_time": _with(f"""
+            SELECT *, actual_usd - budget_usd AS variance_usd,
+                   (actual_usd - budget_usd) / NULLIF(budget_usd, 0) AS variance_pct
+            FROM (SELECT date_key, {_sum('actual_usd')} AS actual_usd, {_sum('budget_usd')} AS budget_usd
+                  FROM budget_variance GROUP BY date_key)""", "budget_variance"),
         "executive_summary": _with(f"""
             SELECT *, idle_cost_usd / NULLIF(actual_spend_usd, 0) * 100 AS waste_pct,
                    untagged_cost_usd / NULLIF(actual_spend_usd, 0) AS untagged_share

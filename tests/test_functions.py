@@ -82,6 +82,21 @@ def test_exact_sum_ignores_order_and_partitions(spark):
     assert totals == {30.005}
 
 
+@pytest.mark.parametrize("values, total", [
+    ([4e-7, 4e-7], 8e-7), ([1e-12] * 3, 3e-12), ([2.123457589], 2.123457589), ([1e6, 4e-7, -1e6], 4e-7),
+    ([139267.9365, 0.1, 0.2], 139268.2365), ([float("nan"), 1.5], 1.5), ([float("inf"), 2.0, float("-inf")], 2.0),
+    ([None, float("nan")], None)])
+def test_exact_sum_keeps_small_amounts_and_skips_what_is_no_number(spark, values, total):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(exact_sum("v")).first()[0] == total
+
+
+@pytest.mark.parametrize("digits, total", [(2, 0.14), (6, 0.143457), (9, 0.143456789), (12, 0.143456789123)])
+def test_exact_sum_keeps_the_digits_asked_for(spark, digits, total):
+    df = spark.createDataFrame([(0.143456789123,), (0.0,)], "v double")
+    assert df.agg(exact_sum("v", digits)).first()[0] == total
+
+
 def test_exact_sum_of_large_numbers(spark):
     df = spark.createDataFrame([(4e15,), (5e15,), (0.25,), (-1.5,)], "v double")
     assert df.agg(exact_sum("v")).first()[0] == 8999999999999998.75

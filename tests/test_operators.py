@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cloudtally.operators import keys, series, shares
 from cloudtally.operators.forecast import linear_forecast
-from cloudtally.operators.ranking import rank_points, top_k, top_k_within
+from cloudtally.operators.ranking import ranks, top_k, top_k_within, with_ranks
 from cloudtally.plans import finops
 from tests.conftest import plan, rows
 
@@ -119,12 +119,74 @@ def test_share_of_all(spark):
 
 # --- ranking ---
 
-def test_rank_points_with_a_third_of_rows_tied(spark):
+@pytest.mark.parametrize("ranges", [1, 2, 16, 256])
+def test_ranks_with_a_third_of_rows_tied_and_an_outlier(spark, ranges):
     rng = random.Random(2)
-    points = [0] * 100 + [rng.randrange(0, 10_001) for _ in range(200)] + [10_000] * 3
-    df = spark.createDataFrame(list(enumerate(points)), "id int, p bigint")
-    found = rows(rank_points(df, "p", "r").select("id", "p", "r"), "id")
-    assert found == [(i, p, 1 + sum(q > p for q in points)) for i, p in enumerate(points)]
+    points = [0.0] * 100 + [rng.random() * 10 for _ in range(100)] + [1e12] * 3 + [-5.0]
+    df = spark.createDataFrame(list(enumerate(points)), "id int, p double")
+    found = with_ranks(df, ranks(df, "p", "r", descending=True, ranges=ranges), "p")
+    found = with_ranks(found, ranks(df, "p", "share", percent=True, ranges=ranges), "p").select("id", "r", "share")
+    assert rows(found, "id") == [
+        (i, 1 + sum(q > p for q in points), sum(q < p for q in points) / (len(points) - 1)) for i, p in enumerate(points)]
+
+
+def test_ranks_of_nothing_of_one_row_and_of_null(spark):
+    for data, expected in (([], []), ([(1, 2.0)], [(1, 0.0)]), ([(1, None), (2, 1.0)], [(1, 1.0), (2, 0.0)])):
+        df = spark.createDataFrame(data, "id int, p double")
+        assert rows(with_ranks(df, ranks(df, "p", "r", percent=True), "p").select("id", "r")) == expected
+
+
+def test_concentration_over_all_providers(spark):
+    from cloudtally.plans.finops import provider_concentration
+
+    spend = [(1, 2024, "Oracle", 900.0), (1, 2024, "AWS", 50.0), (1, 2024, "GCP", 50.0), (2, 2024, None, 3.0),
+             (2, 2024, "AWS", 1.0), (3, 2024, "AWS", 0.0)]
+    df = spark.createDataFrame(spend, "agency_id int, year int, cloud_provider string, spend_usd double")
+    found = {r.agency_id: r for r in provider_concentration(df).collect()}
+    one = found[1]
+    assert (one.dominant_provider, one.dominant_share, one.high_dependence_flag, one.fragmented_flag) == ("Oracle", 0.9, 1, 0)
+    assert (one.aws_share, one.azure_share, one.gcp_share) == (0.05, 0.0, 0.05)
+    assert one.concentration_index == pytest.approx(0.815)
+    assert (found[2].dominant_provider, found[2].dominant_share) == ("Unknown", 0.75)
+    assert found[3].dominant_share is None and found[3].aws_share is None
+
+
+def test_risk_ranks_agencies_with_only_a_budget_and_beside_an_outlier(spark):
+    from cloudtally.plans.finops import financial_risk_rank
+
+    waste = spark.createDataFrame(
+        [(1, 100.0, 0.0, 0.0, 1e12), (2, 100.0, 10.0, 5.0, 7.0), (3, 100.0, 20.0, 6.0, 8.0)],
+        "agency_id int, actual_spend_usd double, untagged_usd double, idle_usd double, high_risk_usd double")
+    over = spark.createDataFrame([(2, 1.0), (3, 2.0), (4, -5.0)], "agency_id int, variance_usd double")
+    found = {r.agency_id: r.risk_rank for r in financial_risk_rank(waste, over).collect()}
+    assert found == {3: 1, 2: 2, 1: 3, 4: 4}
+
+
+def test_rows_without_a_month_are_in_no_series(spark):
+    from cloudtally.plans import facts, finops, views
+
+    day = [f"2024-{m:02d}-01" for m in range(1, 6)]
+    cost = spark.createDataFrame([(1, d, "IaaS", 100.0, 50.0, 1.0) for d in day] + [(1, None, "IaaS", 9000.0, 50.0, 1.0)],
+                                 "agency_id int, day string, service_type string, cost_usd double, utilisation_pct double, "
+                                 "compute_hours double").withColumn("date_key", F.to_date("day"))
+    steps = finops.spend_forecast(facts.fact_forecast_input(cost)).orderBy("step").collect()
+    assert steps[0].forecast == 100.0 and str(steps[0].forecast_month) == "2024-06-01"
+    for frame in (views.v_cost_trends(cost), views.v_cost_spikes(cost)):
+        assert frame.count() == 5 and frame.filter("date_key IS NULL").count() == 0
+    assert finops.spike_drivers(cost).count() == 0
+    assert finops.unmatched_spend(cost).first().unmatched_spend_usd == 0.0
+    assert finops.acceleration_concentration(cost).first().increase_usd == 0.0
+
+
+def test_fiscal_years_that_begin_in_october(spark):
+    from cloudtally.operators.series import run_rate
+
+    months = [("2023-10-01", 1.0), ("2024-01-01", 2.0), ("2024-09-01", 3.0), ("2024-10-01", 5.0)]
+    df = spark.createDataFrame([(1, m, v) for m, v in months], "e int, m string, v double").withColumn(
+        "date_key", F.to_date("m"))
+    found = rows(run_rate(df, ["e"], "v", first_month=10).select("fiscal_year", "months_elapsed", "ytd_spend"))
+    assert found == [("2024", 12, 6.0), ("2025", 1, 5.0)]
+    assert rows(run_rate(df, ["e"], "v").select("fiscal_year", "months_elapsed")) == [("2023", 10), ("2024", 10)]
 
 
 def test_top_k(spark):
