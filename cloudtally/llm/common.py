@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,22 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _own_folder: list[str] = []
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that executors need not have it installed."""
+    package, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="cloudtally-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,4 +93,5 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             out = work(batch)
             if out is not None and out.num_rows:
                 yield out
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import map_batches
+from cloudtally.llm.common import map_batches, ship
 
 SCHEMA = ("pack long, n_tokens int, doc_ids array<long>, doc_offsets array<long>, cu_seqlens array<int>, ids binary, "
           "position_ids binary")
@@ -132,6 +132,7 @@ def pack(docs: DataFrame, path: str, pattern: str, end: int = 50256, size: int =
                         yield pa.RecordBatch.from_pylist(rows[at:at + 1024], _ARROW)
         if group:
             yield pa.RecordBatch.from_pylist(_packed(group, size, end, made), _ARROW)
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import map_batches
+from cloudtally.llm.common import map_batches, ship
 
 _BASE = 0x9E3779B97F4A7C15
 _POSITION = (1 << 24) - 1
@@ -160,6 +160,7 @@ def edited_likeness(docs: DataFrame, k: int = 16, w: int = 32, bucket_docs: int
                 yield pa.RecordBatch.from_pylist(out, _RESULT)
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
+    ship(docs.sparkSession)
     return ordered.mapInArrow(run, schema)
 
 
