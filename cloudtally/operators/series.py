@@ -26,7 +26,11 @@ def by_month(entity: Sequence[str], date: str = "date_key") -> WindowSpec:
 
 
 def dated(df: DataFrame, date: str = "date_key") -> DataFrame:
-    """The rows that have a month. Rows whose month did not parse have no place in a series."""
+    """The rows that have a month. Rows whose month did not parse have no place in a series.
+
+    Best applied after a window that looks back: ``by_month`` puts such rows last, so no other row sees them, and the
+    filter stays above the sums, where it would otherwise be moved to every raw row with the parsing of its month.
+    """
     return df.filter(F.col(date).isNotNull())
 
 

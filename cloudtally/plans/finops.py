@@ -90,7 +90,7 @@ def spike_drivers(cost_fact: DataFrame) -> DataFrame:
     """
     names = [*SERVICES, "Other"]
     service = F.coalesce(F.when(F.col("service_type").isin(*SERVICES), F.col("service_type")), F.lit("Other"))
-    wide = pivot_sum(dated(cost_fact).withColumn("_service", service), ["agency_id", "date_key"], "_service", "cost_usd",
+    wide = pivot_sum(cost_fact.withColumn("_service", service), ["agency_id", "date_key"], "_service", "cost_usd",
                      {n: n for n in names})
     order = by_month(["agency_id"])
     rises = wide.select("agency_id", "date_key", *[(F.col(n) - F.lag(n).over(order)).alias(n) for n in names])
@@ -99,7 +99,7 @@ def spike_drivers(cost_fact: DataFrame) -> DataFrame:
         total = total + F.col(n)
     largest = F.greatest(*[F.struct(F.col(n).alias("rise"), F.lit(n).alias("service")) for n in names])
     return (
-        rises.withColumns({"total_increase_usd": total, "_top": largest})
+        dated(rises).withColumns({"total_increase_usd": total, "_top": largest})
         .filter(F.col("total_increase_usd") > 0)
         .select(
             "agency_id", "date_key", "total_increase_usd", F.col("_top.service").alias("driver_service"),
@@ -155,7 +155,8 @@ def top_growth_agencies(cost_fact: DataFrame, k: int = 10) -> DataFrame:
 def acceleration_concentration(cost_fact: DataFrame, k: int = 2) -> DataFrame:
     """The k agencies with the largest sum of month-on-month increases, and their share of all increases."""
     rise = F.col("monthly_cost") - F.lag("monthly_cost").over(by_month(["agency_id"]))
-    increases = monthly_spend(dated(cost_fact)).withColumn("_rise", F.greatest(rise, F.lit(0.0))).groupBy("agency_id").agg(
+    risen = dated(monthly_spend(cost_fact).withColumn("_rise", F.greatest(rise, F.lit(0.0))))
+    increases = risen.groupBy("agency_id").agg(
         exact_sum("_rise", MONEY_DIGITS).alias("increase_usd"))
     known = increases.filter(F.col("increase_usd").isNotNull())
     order = [F.col("increase_usd").desc(), F.col("agency_id").asc()]
@@ -207,7 +208,7 @@ def waste_by_service(cost_fact: DataFrame, limits: Limits = Limits()) -> DataFra
 
 def unmatched_spend(cost_fact: DataFrame) -> DataFrame:
     """Spend of months in which a service cost more without more utilisation or compute, per agency."""
-    monthly = dated(cost_fact).groupBy("agency_id", "service_type", "date_key").agg(
+    monthly = cost_fact.groupBy("agency_id", "service_type", "date_key").agg(
         exact_sum("cost_usd").alias("cost_usd"), exact_avg("utilisation_pct").alias("utilisation_pct"),
         exact_sum("compute_hours").alias("compute_hours"))
     order = by_month(["agency_id", "service_type"])
@@ -217,7 +218,7 @@ def unmatched_spend(cost_fact: DataFrame) -> DataFrame:
         & (F.col("utilisation_pct") <= before["utilisation_pct"])
         & (F.col("compute_hours") <= before["compute_hours"])
     )
-    return monthly.withColumn("_hit", idle_rise).groupBy("agency_id").agg(
+    return dated(monthly.withColumn("_hit", idle_rise)).groupBy("agency_id").agg(
         exact_sum("cost_usd").alias("total_spend_usd"),
         exact_sum(F.when(F.col("_hit"), F.col("cost_usd")).otherwise(F.lit(0.0))).alias("unmatched_spend_usd"),
     ).withColumn("unmatched_share", ratio(F.col("unmatched_spend_usd"), F.col("total_spend_usd")))

@@ -20,16 +20,17 @@ def v_cost_trends(cost_fact: DataFrame, limits: Limits = Limits(), dense_calenda
     "Previous month" is the previous row; ``dense_calendar`` first adds missing months at zero cost.
     """
     entity = ["agency_id", "service_type"]
-    monthly = to_grain(dated(cost_fact), [*entity, "date_key"], "cost_usd")
+    monthly = to_grain(cost_fact, [*entity, "date_key"], "cost_usd")
     if dense_calendar:
         monthly = fill_months(monthly, entity, "cost_usd")
     order = by_month(entity)
     change = growth(F.col("cost_usd"), F.col("_previous")) * 100
+    looked_back = monthly.withColumns({
+        "_previous": F.lag("cost_usd").over(order),
+        "rolling_3m_avg_cost": rolling_avg("cost_usd", order, limits.trend_months),
+    })
     return (
-        monthly.withColumns({
-            "_previous": F.lag("cost_usd").over(order),
-            "rolling_3m_avg_cost": rolling_avg("cost_usd", order, limits.trend_months),
-        })
+        dated(looked_back)
         .withColumn("_change", change)
         .select(
             "agency_id", "date_key", "service_type", "cost_usd", "rolling_3m_avg_cost",
@@ -45,9 +46,9 @@ def v_cost_spikes(cost_fact: DataFrame, entity: Sequence[str] = ("agency_id",),
     Costs are summed per entity and month first, so a month is never compared with another service of
     the same month. Pass ``("agency_id", "service_type")`` for service-level spikes.
     """
-    monthly = to_grain(dated(cost_fact), [*entity, "date_key"], "cost_usd")
+    monthly = to_grain(cost_fact, [*entity, "date_key"], "cost_usd")
     previous = F.lag("cost_usd").over(by_month(entity))
-    return monthly.withColumn("spend_growth_pct", growth(F.col("cost_usd"), previous)).select(
+    return dated(monthly.withColumn("spend_growth_pct", growth(F.col("cost_usd"), previous))).select(
         *entity, "date_key", "cost_usd", "spend_growth_pct",
         flag(F.col("spend_growth_pct") > limits.spike_growth).alias("spike_flag"))
 
