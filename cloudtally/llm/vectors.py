@@ -23,15 +23,19 @@ from pyspark.sql import functions as F
 from cloudtally.llm.common import cut, map_batches
 from cloudtally.llm.components import connected
 
-#: Room for rounding of block distances computed in single precision.
+#: Room in each block's share for the rounding of rotated vectors.
 _SLACK = 1e-4
+#: What cells and the dot products take beyond the share, so that they pass whatever `_apart` finds within it.
+_WIDER = 1e-5
+#: Steps of a grid of unit vectors and rotation on which double precision multiplies and adds without rounding.
+_GRID = float(1 << 24)
 #: Kinds of rows that a search returns.
 _LINK, _EDGE = 0, 1
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Rotation, blocks and cell cuts for vectors of one length."""
+    """Rotation (in steps of the grid), blocks and cell cuts for vectors of one length."""
 
     rotation: np.ndarray
     width: int
@@ -43,12 +47,17 @@ class Plan:
         dims = self.rotation.shape[0]
         return self.far * (min(dims, (block + 1) * self.width) - block * self.width) / dims + _SLACK
 
+    def turn(self, vectors: np.ndarray) -> np.ndarray:
+        """Unit vectors rotated; the same bits in every task, whatever rows are turned together."""
+        return (np.rint(vectors * _GRID) @ self.rotation / _GRID ** 2).astype(np.float32)
+
 
 def plan(sample: np.ndarray, rows: int, cosine: float, width: int, cell_rows: int, seed: int) -> Plan:
     """Cuts each block's leading axes at sample quantiles, halving axis after axis until cells are small enough."""
     dims = sample.shape[1]
-    rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))[0].astype(np.float32)
-    turned = sample.astype(np.float32) @ rotation
+    rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))[0]
+    rotation = np.rint(rotation * _GRID)
+    turned = Plan(rotation, width, 0, [], 0).turn(sample)
     halvings = max(0, int(np.ceil(np.log2(max(1, rows / cell_rows)))))
     cuts = []
     for first in range(0, dims, width):
@@ -66,7 +75,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def cells(p: Plan, turned: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, cell and whether it is the row's own, for every cell that a row goes to."""
-    budget, n = p.budget(block), len(turned)
+    budget, n = p.budget(block) + _WIDER, len(turned)
     row, cell, own, gap = np.arange(n), np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n)
     home = np.zeros(n, np.int64)
     for axis, edges in enumerate(p.cuts[block]):
@@ -111,15 +120,26 @@ def _array(raws, dims: int, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(raws), kind).reshape(-1, dims)
 
 
+def _apart(x: np.ndarray, y: np.ndarray, s: np.ndarray, t: np.ndarray, axes: range) -> np.ndarray:
+    """Squared distances over some axes (rows of x and y), added axis by axis: the same bits for a pair in every task."""
+    out = np.zeros(len(s), np.float32)
+    for k in axes:
+        gap = x[k][s] - y[k][t]
+        out += gap * gap
+    return out
+
+
 def _found(p: Plan, block: int, a: np.ndarray, b: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs (rows of a, rows of b, or of a itself) that this block is the first to find."""
     w, step = p.width, 1024
-    one = a.astype(np.float32) @ p.rotation
-    two = one if b is None else b.astype(np.float32) @ p.rotation
+    one = p.turn(a)
+    two = one if b is None else p.turn(b)
     other = a if b is None else b
     span = slice(block * w, (block + 1) * w)
     x, y = one[:, span], two[:, span]
     y2 = (y * y).sum(1)
+    axes = [range(k * w, min(one.shape[1], (k + 1) * w)) for k in range(block + 1)]
+    one, two = np.ascontiguousarray(one.T), np.ascontiguousarray(two.T)
     left, right = [], []
     for first in range(0, len(x), step):
         part = x[first:first + step]
@@ -127,17 +147,15 @@ def _found(p: Plan, block: int, a: np.ndarray, b: np.ndarray | None, cosine: flo
         near *= -2
         near += (part * part).sum(1)[:, None]
         near += y2
-        i, j = np.nonzero(near <= p.budget(block))
+        i, j = np.nonzero(near <= p.budget(block) + _WIDER)
         i += first
         if b is None:
             i, j = i[i < j], j[i < j]
         for begin in range(0, len(i), 1 << 18):
             s, t = i[begin:begin + (1 << 18)], j[begin:begin + (1 << 18)]
-            new = np.ones(len(s), bool)
-            for earlier in range(block):
-                at = slice(earlier * w, (earlier + 1) * w)
-                new &= ((one[s, at] - two[t, at]) ** 2).sum(1) > p.budget(earlier)
-            s, t = s[new], t[new]
+            for k in range(block + 1):
+                new = (_apart(one, two, s, t, axes[k]) <= p.budget(k)) == (k == block)
+                s, t = s[new], t[new]
             ok = np.einsum("ij,ij->i", a[s], other[t]) >= cosine
             left.append(s[ok])
             right.append(t[ok])
@@ -172,7 +190,7 @@ def _near(reps: DataFrame, dims: int, rows: int, cosine: float, width: int, cell
 
     def count():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            turned = unit(_array(batch.column(2).to_pylist(), dims, kind)).astype(np.float32) @ p.rotation
+            turned = p.turn(unit(_array(batch.column(2).to_pylist(), dims, kind)))
             keys = [block << 40 | cells(p, turned, block)[1] for block in range(p.blocks)]
             key, n = np.unique(np.concatenate(keys), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
@@ -185,7 +203,7 @@ def _near(reps: DataFrame, dims: int, rows: int, cosine: float, width: int, cell
     def deal():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = batch.column(0).to_numpy()
-            turned = unit(_array(batch.column(2).to_pylist(), dims, kind)).astype(np.float32) @ p.rotation
+            turned = p.turn(unit(_array(batch.column(2).to_pylist(), dims, kind)))
             salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
             out = []
             for block in range(p.blocks):

@@ -56,3 +56,33 @@ def test_odd_rows(spark):
     none = spark.createDataFrame([(None, [1.0, 2.0]), (5, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert {tuple(r) for r in vectors.near_duplicates(none).collect()} == {(None, 1, 5, False), (5, 1, 5, True)}
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_each_pair_of_a_dense_group_is_found_once(seed):
+    pick = np.random.default_rng(seed)
+    group = vectors.unit((pick.standard_normal(64) + 0.14 * pick.standard_normal((2000, 64))).astype(np.float32))
+    p = vectors.plan(group[:500], len(group), 0.95, 8, 8192, 11)
+    halves = np.flatnonzero(np.arange(2000) % 3 == 0), np.flatnonzero(np.arange(2000) % 3 > 0)
+    times = np.zeros((2000, 2000), np.int8)
+    for block in range(p.blocks):
+        # The rows of a block are dealt to tasks in another way than those of the next.
+        if block % 2:
+            s, t = vectors._found(p, block, group, None, 0.95)
+            times[s, t] += 1
+        else:
+            for rows in halves:
+                s, t = vectors._found(p, block, group[rows], None, 0.95)
+                times[rows[s], rows[t]] += 1
+            s, t = vectors._found(p, block, group[halves[0]], group[halves[1]], 0.95)
+            s, t = halves[0][s], halves[1][t]
+            times[np.minimum(s, t), np.maximum(s, t)] += 1
+    cosines = np.triu(group @ group.T, 1)
+    sure = np.abs(cosines - 0.95) > 1e-12
+    assert (times[sure] == (cosines[sure] > 0.95)).all()
+
+
+def test_rotated_bits_do_not_depend_on_the_batch():
+    rows = vectors.unit(np.random.default_rng(1).standard_normal((300, 64)))
+    p = vectors.plan(rows, 300, 0.95, 8, 8192, 11)
+    assert all((p.turn(rows[k:k + n]) == p.turn(rows)[k:k + n]).all() for k in (0, 7) for n in (1, 2, 3, 17, 100))
