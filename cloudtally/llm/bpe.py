@@ -234,6 +234,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return map_batches(encoded.select("doc_id", "ids"), make, f"doc_id {_kind(encoded)}, text string")
 
 
+def encode_decode(docs: DataFrame, path: str) -> DataFrame:
+    """`doc_id`, `ids` as `encode` gives them, and `decoded`: what those ids say, as `decode` gives it."""
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            t = tokenizer(path)
+            ids = list(map(t.encode, batch.column(1).to_pylist()))
+            texts = [t.decode(i).decode() for i in ids]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
+                                              ["doc_id", "ids", "decoded"])
+        return work
+    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {_kind(docs)}, ids binary, decoded string")
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `n_tokens`, and SHA-256 of the ids and of the decoded text, without moving either to the JVM."""
     def make():

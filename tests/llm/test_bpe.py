@@ -6,7 +6,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer as Library
 
+import corpus_pipeline
 from cloudtally.llm import bpe
+from cloudtally.llm.queries import VOCABULARY
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -68,3 +70,12 @@ def test_odd_rows(docs):
     assert sorted(got, key=str) == sorted([(1, 0), (2, 0), (None, 2), (3, 2), (3, 2)], key=str)
     assert {r.text for r in bpe.decode(encoded, PATH).collect()} == {"", "the</w> cat</w>"}
     assert bpe.round_trip(docs([]), PATH).count() == 0
+
+
+def test_pipeline_stage_decodes_what_it_encodes(spark, docs, sample_dir):
+    texts = [None, "", "Hello  World", "two words, and more", "é ß x@y.zz"]
+    got = corpus_pipeline.encode(spark, docs(list(enumerate(texts))), sample_dir).collect()
+    t = bpe.tokenizer(VOCABULARY)
+    assert {r.doc_id: (bytes(r.ids), r.decoded) for r in got} == {
+        i: (t.encode(x), t.decode(t.encode(x)).decode()) for i, x in enumerate(texts)}
+    assert got and {r.doc_id: r.decoded for r in got}[0] == ""
