@@ -237,9 +237,8 @@ def mixed(docs: DataFrame, m: Mix) -> DataFrame:
     of = (of.join(one, "mark").filter(F.struct("number", "start") == F.col("first"))
           .groupBy("mark").agg(F.collect_list(F.struct("epoch", "spans", "size")).alias("passes")))
     names = [c for c in docs.columns if c != "text"]
-    rows = (docs.withColumn("mark", mark().alias("m")) if "mark" not in docs.columns else
-            docs.drop("mark").withColumn("mark", mark().alias("m")))
-    rows = rows.join(of, "mark").select("text", "passes", F.struct(*[rows[c] for c in names]).alias("rest"))
+    rows = docs.select(mark(), "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("rest"))
+    rows = rows.join(of, "mark").select("text", "passes", "rest")
     kept = rows.select("text", F.explode("passes").alias("p"), "rest")
     whole = (F.size("p.spans") == 1) & (F.col("p.spans")[0]["lo"] == 0) & (F.col("p.spans")[0]["hi"] == F.col("p.size"))
     covered = F.aggregate("p.spans", F.lit(0).cast("long"), lambda s, x: s + x["hi"] - x["lo"]) == F.col("p.size")

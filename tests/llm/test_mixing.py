@@ -101,3 +101,10 @@ def test_mixed_rows_hold_the_words_taken(docs):
         assert set(r.text.split()) <= set(own.values())
         words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
     assert words == {r.doc_id: r.taken for r in mixing.taken(m).collect() if r.taken}
+
+
+def test_columns_named_as_the_operator_names_its_own(docs):
+    frame = docs([(i, "one two three " * 50, "ab"[i % 2]) for i in range(8)])
+    more = frame.selectExpr("*", "doc_id * 10 AS mark", "doc_id * 100 AS passes", "'r' AS rest", "doc_id AS number")
+    got = mixing.mixed(more, mixing.mix(more, block_words=16)).collect()
+    assert got and all((r.mark, r.passes, r.rest, r.number) == (10 * r.doc_id, 100 * r.doc_id, "r", r.doc_id) for r in got)
