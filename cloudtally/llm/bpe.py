@@ -244,7 +244,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
                                               ["doc_id", "ids", "decoded"])
         return work
-    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {_kind(docs)}, ids binary, decoded string")
+    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {_kind(docs)}, ids binary, decoded string", rows=256)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:

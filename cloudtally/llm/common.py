@@ -82,16 +82,17 @@ def labelled_sample(labels: DataFrame, label: str, most: int) -> DataFrame:
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-                schema: str) -> DataFrame:
+                schema: str, rows: int | None = None) -> DataFrame:
     """`make()` is called once per task and returns what turns one Arrow batch into another.
 
-    Batches follow Spark's limit on their bytes, so a task holds a few texts at a time.
+    Batches follow Spark's limit on their bytes, so a task holds a few texts at a time; `rows` cuts them further.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            out = work(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for first in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+                out = work(batch.slice(first, rows))
+                if out is not None and out.num_rows:
+                    yield out
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
