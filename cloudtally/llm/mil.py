@@ -177,7 +177,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, words: int = 64
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, words: int = 64) -> DataFrame:
     """The rows whose score reaches the threshold, with all their columns."""
     rest = [c for c in docs.columns if c != "text"]
-    packed = docs.select("text", F.struct(*rest).alias("rest"))
+    packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"))
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:

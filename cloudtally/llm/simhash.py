@@ -84,6 +84,13 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _rooted(fps: DataFrame, distance: int) -> DataFrame:
+    """`fp`, `rep` (its smallest id), `root` (names its component) for every fingerprint of `doc_id`, `fp`."""
+    reps = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    found = connected(links(reps, distance))
+    return reps.join(found.toDF("fp", "root"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
     """`doc_id`, `fp`, `component_id`: the smallest id reachable over fingerprints at most `distance` bits apart.
 
@@ -91,10 +98,7 @@ def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, seed:
     kept and never name a component that has another id; an empty table gives no rows. Extra columns are ignored.
     """
     fps = cut(fingerprints(docs, shingle, seed))
-    reps = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = connected(links(reps, distance))
-    rooted = reps.join(found.toDF("fp", "root"), "fp", "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(fps, distance)
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     groups = rooted.join(named, "root").select("fp", "component_id")
     return fps.join(groups, "fp").select("doc_id", "fp", "component_id")
@@ -105,10 +109,28 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """The documents that name their component, with all their columns, and those without an id.
+def keep_one(docs: DataFrame, distance: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """One row of each component, with all columns of `docs`: that of the smallest id.
 
-    Rows that repeat an id are kept or dropped together.
+    Rows, not ids, are grouped: an id that repeats with other texts is in several components. Rows without an id come
+    after those with one; among rows of the same id, and of equal rows, one stays, chosen by a 128-bit hash of all its
+    columns that can be hashed. An empty table gives no rows.
     """
-    found = near_duplicates(docs, distance).filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(found.distinct(), "doc_id", "left_anti")
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = np.array([fingerprint(t, shingle, seed) for t in batch.column(3).to_pylist()], np.uint64)
+            return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found.view(np.int64))],
+                                              ["mark", "check", "doc_id", "fp"])
+        return work
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    plain = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    packed = docs.select(F.struct(*columns).alias("row")).select(
+        "row", F.xxhash64(*plain).alias("mark"), F.xxhash64(F.lit(1), *plain).alias("check"))
+    fps = cut(map_batches(packed.select("mark", "check", F.col("row.doc_id").cast("long").alias("doc_id"),
+                                        F.col("row.text").alias("text")),
+                          make, "mark long, check long, doc_id long, fp long"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "check")).alias("first")
+    least = fps.groupBy("fp").agg(first).join(_rooted(fps, distance), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = least.select("first.mark", "first.check")
+    return (packed.join(kept, ["mark", "check"], "left_semi").dropDuplicates(["mark", "check"])
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

@@ -90,3 +90,10 @@ def test_stages_take_odd_and_empty_tables(spark, docs, sample_dir):
     none = frame.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, sample_dir).count() == 0
+
+
+def test_stages_keep_columns_with_odd_names(spark, docs, sample_dir):
+    frame = docs([(1, "some words here, and more of them"), (2, "x@y.zz")]).withColumnsRenamed(
+        {"score": "a.b", "component_id": "mark"}).selectExpr("*", "1 AS passes", "2 AS row", "3 AS rest")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, frame, sample_dir).columns == frame.columns, name

@@ -68,8 +68,9 @@ def test_odd_rows(docs):
     got = [(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs(rows)).collect()]
     assert len(got) == len(rows)
     assert (0, 0) in got and (1, 0) in got and (2, 0) in got and (None, None) in got and (5, 4) in got
-    kept = sorted(r.doc_id for r in simhash.keep_one(docs(rows)).collect() if r.doc_id is not None)
-    assert kept[:1] == [0] and 1 not in kept and kept.count(3) == 2
+    kept = sorted((r.doc_id is None, r.doc_id, r.text or "") for r in simhash.keep_one(docs(rows)).collect())
+    texts = {plain(t): (i is None, i) for i, t in reversed(rows)}
+    assert len(kept) == len(texts) and (False, 3, "One") in kept and (True, None, "lonely words here") in kept
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
@@ -79,3 +80,14 @@ def test_components_of_chains_and_stars(spark):
     assert {i for i, r in got.items() if r == 100} == set(range(100, 161))
     assert {i for i, r in got.items() if r == 7} == {7, *range(200, 260)}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_takes_rows_not_ids(docs, spark):
+    x, y = (" ".join(f"{c}{k}" for k in range(60)) for c in "xy")
+    rows = [(3, x), (5, x.upper()), (5, y), (3, x), (None, "alone here"), (None, "alone here"), (None, y), (7, None), (8, " ")]
+    frame = docs(rows).withColumnsRenamed({"score": "a.b", "component_id": "mark"})
+    got = simhash.keep_one(frame)
+    assert got.columns == frame.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got.collect()) == sorted(
+        [(3, x), (5, y), (0, "alone here"), (7, "")])
+    assert simhash.keep_one(frame.limit(0)).count() == 0
