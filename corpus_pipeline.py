@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cloudtally.llm import bpe, mil, mixing, pii, similar
+from cloudtally.llm import bpe, mil, mixing, pii, simhash
 from cloudtally.llm.common import scratch, table
 from cloudtally.llm.queries import VOCABULARY
 
@@ -20,8 +20,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of documents with a Jaccard of five-word shingles of at least 0.8, of the smallest id."""
-    return similar.keep_one(docs)
+    """One row, that of the smallest id, of each group that chains of fingerprints at most 2 bits apart join.
+
+    Fingerprints are the SimHash operator's own, over shingles of three words.
+    """
+    return simhash.keep_one(docs, distance=2, shingle=3)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
