@@ -13,6 +13,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _own_folder: list[str] = []
@@ -82,7 +83,7 @@ def labelled_sample(labels: DataFrame, label: str, most: int) -> DataFrame:
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-                schema: str, rows: int | None = None) -> DataFrame:
+                schema: str | StructType, rows: int | None = None) -> DataFrame:
     """`make()` is called once per task and returns what turns one Arrow batch into another.
 
     Batches follow Spark's limit on their bytes, so a task holds a few texts at a time; `rows` cuts them further.

@@ -184,6 +184,5 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, words: int
             good = [model.score([passages(t, words)])[0] >= threshold for t in batch.column(0).to_pylist()]
             return batch.filter(pa.array(good, pa.bool_()))
         return work
-    kind = packed.schema["rest"].dataType.simpleString()
-    kept = map_batches(packed, make, f"text string, rest {kind}")
+    kept = map_batches(packed, make, packed.schema)
     return kept.select(*["text" if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])

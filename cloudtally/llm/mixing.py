@@ -254,9 +254,8 @@ def mixed(docs: DataFrame, m: Mix) -> DataFrame:
                 out.append(b" ".join(w for s in spans for w in words[s["lo"]:s["hi"]]).decode())
             return pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], ["text", "rest"])
         return work
-    kind = rows.schema["rest"].dataType.simpleString()
     done = map_batches(kept.select("text", F.when(~(whole | covered), F.col("p.spans")).alias("spans"), "rest"), make,
-                       f"text string, rest {kind}")
+                       rows.select("text", "rest").schema)
     count = F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
     return done.select(*["text" if c == "text" else count.alias(c) if c == "n_chars" else F.col(f"rest.`{c}`").alias(c)
                          for c in docs.columns])
