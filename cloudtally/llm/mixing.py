@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cloudtally.llm.common import cut, map_batches
 
 _GROUP = 1024
+_SHARDS_PER_TASK, _MOST_TASKS = 4, 20_000
 
 
 @dataclass(frozen=True)
@@ -194,7 +195,9 @@ def _slots(spark, sources: list[Source], shard_slots: int, seed: int) -> DataFra
                 ["shard", "slot", "number", "block", "epoch"])
         return work
     numbered = _running(drawn, "number", "shard", "n").select("shard", "number", "n", "first", "before")
-    return map_batches(numbered, place, schema)
+    # Few rows make many slots: a stated number of tasks, and few rows at a time (at most 64 * shard_slots slots).
+    spread = numbered.repartition(max(1, min(shards // _SHARDS_PER_TASK, _MOST_TASKS)), "shard")
+    return map_batches(spread, place, schema, rows=64)
 
 
 def pieces(m: Mix) -> DataFrame:
