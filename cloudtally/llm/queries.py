@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mil, mixing, packing, pii, pu, simhash, vectors, warc, winnow
+from cloudtally.llm import bpe, mil, mixing, nearest, packing, pii, pu, simhash, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,10 +71,15 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu.score(docs, pu.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op5_token_packing,
-        op6_pii_boosted_candidates, op7_winnowing, op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity)}
+        op6_pii_boosted_candidates, op7_winnowing, op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity,
+        op12_block_matrix_neighbours)}
 
 
 # Base32 by five of a digest's 160 bits at a time.
@@ -92,5 +97,34 @@ FROM w
 """
 
 
+_VECTORS = """
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE len(embedding) > 0 AND list_count(embedding) = len(embedding)
+        AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+"""
+
+_NEAR_VECTORS = f"""
+WITH RECURSIVE {_VECTORS},
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id
+      WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS x, vec_id AS c FROM embeddings UNION SELECT l.y, r.c FROM r JOIN l ON r.x = l.x),
+m AS (SELECT x, min(c) AS component_id FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings AS e JOIN m ON e.vec_id = m.x LEFT JOIN n ON e.vec_id = n.x
+"""
+
+# Squares are added in the order of the axes; list_distance adds them in an order of its own.
+_NEIGHBOURS = f"""
+WITH {_VECTORS},
+d AS (SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(list_zip(q.e, v.e),
+          lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+      WHERE q.vec_id % 100 = 0 AND len(q.e) = len(v.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_segments": _WARC}
+    return {"op2_subspace_pigeonhole_join": _NEAR_VECTORS, "op3_warc_segments": _WARC,
+            "op12_block_matrix_neighbours": _NEIGHBOURS}

@@ -12,6 +12,7 @@ return links counted per vector and a spanning forest.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,7 +70,9 @@ def plan(sample: np.ndarray, rows: int, cosine: float, width: int, cell_rows: in
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; divided by a power of two first, so that squares stay within the range of doubles."""
     vectors = vectors.astype(np.float64)
+    vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -95,25 +98,28 @@ def cells(p: Plan, turned: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarr
     return row[keep], cell[keep], own[keep]
 
 
-def _keyed(vectors: DataFrame, kind: str) -> DataFrame:
-    """vec_id, key, raw, dims for usable vectors; key is a digest of the values, raw their bytes as numpy's `kind`."""
+def _keyed(vectors: DataFrame, kind: str, more: Sequence[str] = ()) -> DataFrame:
+    """vec_id, key, raw, dims, and columns `more`; key is a digest of the values, raw their bytes as numpy's `kind`.
+
+    Both are null where a vector is: empty, zero, or with a component that is missing or not finite.
+    """
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             keys, raws, dims = [], [], []
             for v in batch.column(1).to_pylist():
                 x = np.array([np.nan if c is None else c for c in v or []], np.float64) + 0.0
-                with np.errstate(over="ignore"):
-                    usable = len(x) and np.isfinite(x).all() and 0 < np.dot(x, x) < np.inf
+                usable = len(x) and np.isfinite(x).all() and x.any()
                 raw = x.astype(kind).tobytes() if usable else None
                 raws.append(raw)
                 keys.append(hashlib.blake2b(raw, digest_size=16).digest() if usable else None)
                 dims.append(len(x) if usable else 0)
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(raws, pa.binary()), pa.array(dims, pa.int32())],
-                ["vec_id", "key", "raw", "dims"])
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array(raws, pa.binary()), pa.array(dims, pa.int32()),
+                 *batch.columns[2:]], ["vec_id", "key", "raw", "dims", *more])
         return work
-    return map_batches(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")), make,
-                       "vec_id long, key binary, raw binary, dims int")
+    kinds = dict(vectors.dtypes)
+    return map_batches(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), *more), make,
+                       "vec_id long, key binary, raw binary, dims int" + "".join(f", {c} {kinds[c]}" for c in more))
 
 
 def _array(raws, dims: int, kind: str) -> np.ndarray:

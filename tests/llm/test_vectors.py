@@ -86,3 +86,15 @@ def test_rotated_bits_do_not_depend_on_the_batch():
     rows = vectors.unit(np.random.default_rng(1).standard_normal((300, 64)))
     p = vectors.plan(rows, 300, 0.95, 8, 8192, 11)
     assert all((p.turn(rows[k:k + n]) == p.turn(rows)[k:k + n]).all() for k in (0, 7) for n in (1, 2, 3, 17, 100))
+
+
+def test_query_against_sql(query, oracle):
+    got, want = query("op2_subspace_pigeonhole_join"), oracle("op2_subspace_pigeonhole_join")
+    assert sorted(map(tuple, got[want.columns].to_numpy())) == sorted(map(tuple, want.to_numpy()))
+
+
+def test_vectors_whose_squares_leave_doubles(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [2e-200, 2e-200]), (4, [1.0, 0.0]), (5, [5e-324, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4)}
