@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, mil, mixing, nearest, packing, pii, pu, simhash, vectors, warc, winnow
+from cloudtally.llm import bpe, merkle, mil, mixing, nearest, packing, pii, pu, simhash, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,11 +75,17 @@ def op12_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = merkle.leaves(table(spark, sf_dir, "documents"), tampered)
+    return merkle.prove(merkle.build(leaves, scratch(spark, "merkle")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op5_token_packing,
         op6_pii_boosted_candidates, op7_winnowing, op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity,
-        op12_block_matrix_neighbours)}
+        op12_block_matrix_neighbours, op13_merkle_manifest)}
 
 
 # Base32 by five of a digest's 160 bits at a time.
@@ -125,6 +131,52 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text as a DuckDB expression, bit by bit."""
+    octets = f"list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    bits = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    step = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: {bits})"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: {step}), 4294967295)"
+
+
+def _merkle(levels: int = 8) -> str:
+    """Trees of up to 16 ** `levels` leaves: the levels up, then each leaf's runs, its siblings and its folds."""
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, (
+            "CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text))) + ")"
+    ctes = [f"""d AS (SELECT doc_id, coalesce('=' || source, '') AS s, {leaf('text')} AS leaf,
+        CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0
+             THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS low FROM documents),
+    a0 AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)"""]
+
+    def tree(t: str, key: str) -> None:
+        for k in range(levels):
+            ctes.append(f"""{t}r{k} AS (SELECT {key}, i // 16 AS i, list(h ORDER BY i) AS hs,
+                sum(count(*)) OVER (PARTITION BY {key}) = 1 AS alone FROM {t}{k} GROUP BY {key}, i // 16)""")
+            ctes.append(f"""{t}{k + 1} AS (SELECT {key}, i, CASE WHEN alone THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h
+                FROM {t}r{k})""")
+    tree("a", "s")
+    ctes.append("b0 AS (SELECT 0 AS z, s, h, row_number() OVER (ORDER BY s) - 1 AS i FROM a8)".replace("a8", f"a{levels}"))
+    tree("b", "z")
+    now = "(SELECT a0.s, a0.doc_id, a0.leaf, a0.i, b0.i AS j, coalesce(a0.low, a0.leaf) AS f, '' AS p, 0 AS z FROM a0 JOIN b0 ON a0.s = b0.s)"
+    for t, key, at in (("a", "s", "i"), ("b", "z", "j")):
+        for k in range(levels):
+            name = f"{t}f{k}"
+            place = f"CAST((n.{at} // {16 ** k}) % 16 AS INT)"
+            ctes.append(f"""{name} AS (SELECT n.* REPLACE (
+                CASE WHEN r.alone THEN n.f ELSE sha256(array_to_string(r.hs[1:{place}] || [n.f] || r.hs[{place} + 2:], '')) END AS f,
+                CASE WHEN r.alone THEN n.p ELSE n.p || array_to_string(r.hs[1:{place}] || r.hs[{place} + 2:], '') END AS p)
+                FROM {now} AS n JOIN {t}r{k} AS r ON n.{key} = r.{key} AND n.{at} // {16 ** (k + 1)} = r.i)""")
+            now = name
+    return f"""WITH {", ".join(ctes)}
+SELECT n.doc_id, n.leaf, a{levels}.h AS subroot, b{levels}.h AS root, sha256(n.p) AS proof_sha256, n.f AS folded_root,
+       n.f = b{levels}.h AS verified
+FROM {now} AS n JOIN a{levels} ON n.s = a{levels}.s CROSS JOIN b{levels}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_subspace_pigeonhole_join": _NEAR_VECTORS, "op3_warc_segments": _WARC,
-            "op12_block_matrix_neighbours": _NEIGHBOURS}
+            "op12_block_matrix_neighbours": _NEIGHBOURS, "op13_merkle_manifest": _merkle()}
