@@ -12,10 +12,10 @@ import string
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import cut, map_batches
+from cloudtally.llm.common import map_batches, numbered
 
 _FAN, _STORED = 16, 2
 _SUBTREE = _FAN ** _STORED
@@ -51,23 +51,6 @@ def leaves(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     return found.withColumn("shown", F.coalesce("shown", "leaf"))
 
 
-def _numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """The rows with `start`, the sum of `n` over the rows of the same `g` before them, and `total`, that over all.
-
-    Rows are laid out by ranges, summed within each range and group, and the sums of earlier ranges added.
-    """
-    names = rows.columns
-    keys = [F.col(c).asc_nulls_first() for c in ("g", *order)]
-    laid = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    laid = cut(laid.select(*names, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
-    sums = laid.groupBy("part", "g").agg(F.sum("n").alias("s"))
-    before = F.sum("s").over(Window.partitionBy("g").orderBy("part")) - F.col("s")
-    base = sums.select("part", "g", before.alias("base"), F.sum("s").over(Window.partitionBy("g")).alias("total"))
-    inner = F.sum("n").over(Window.partitionBy("part", "g").orderBy("at")) - F.col("n")
-    return laid.withColumn("inner", inner).join(base, ["part", "g"]).select(
-        *names, (F.col("base") + F.col("inner")).alias("start"), "total")
-
-
 def _subtrees(nodes: DataFrame, *more: str) -> DataFrame:
     """`g`, `block`, `height`, `items`: the nodes of each aligned subtree in order, equal leaves as one item of `n`."""
     block = F.explode(F.expr(f"sequence(start div {_SUBTREE}, (start + n - 1) div {_SUBTREE})")).alias("block")
@@ -220,11 +203,11 @@ def build(rows: DataFrame, path: str) -> Manifest:
     # Sources as keys that are never null and keep their order.
     keyed = rows.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("g"), "doc_id", "leaf", "shown")
     each = keyed.groupBy("g", "doc_id", "leaf", "shown").agg(F.count("*").alias("n"))
-    laid = _numbered(each, "doc_id", "leaf")
+    laid = numbered(each, "doc_id", "leaf")
     sources = grow(laid.withColumnRenamed("leaf", "digest"), f"{path}/sources")
     names = sources.roots.select(F.lit(_ALL).alias("g"), F.col("g").alias("name"), F.col("root").alias("digest"),
                                  F.lit(1).cast("long").alias("n"))
-    top = grow(_numbered(names, "name"), f"{path}/top")
+    top = grow(numbered(names, "name"), f"{path}/top")
     last = top.roots.first()
     return Manifest(sources, top, last and last["root"])
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm import bpe, merkle, mil, mixing, nearest, packing, pii, pu, simhash, vectors, warc, winnow
+from cloudtally.llm import bpe, merkle, mil, mixing, nearest, packing, pii, pu, simhash, turns, vectors, warc, winnow
 from cloudtally.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def op10_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu.score(docs, pu.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repaired(table(spark, sf_dir, "conversations"))
+
+
 def op12_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -85,7 +89,7 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_attention_mil_quality, op2_subspace_pigeonhole_join, op3_warc_segments, op4_simhash_near_dedup, op5_token_packing,
         op6_pii_boosted_candidates, op7_winnowing, op8_bpe_encode_decode, op9_mixing, op10_pu_toxicity,
-        op12_block_matrix_neighbours, op13_merkle_manifest)}
+        op11_conversation_repair, op12_block_matrix_neighbours, op13_merkle_manifest)}
 
 
 # Base32 by five of a digest's 160 bits at a time.
@@ -177,6 +181,58 @@ SELECT n.doc_id, n.leaf, a{levels}.h AS subroot, b{levels}.h AS root, sha256(n.p
 FROM {now} AS n JOIN a{levels} ON n.s = a{levels}.s CROSS JOIN b{levels}"""
 
 
+def _repair() -> str:
+    """Row by row, the least cost and audit (nine digits and the edits, so that texts compare as pairs) in four states.
+
+    x0 nothing kept, x1 after a system row, x2 after a user row, x3 after an assistant row.
+    """
+    def made(x: str, cost: str, edit: str) -> str:
+        return f"(lpad(CAST(CAST(left({x}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({x}, 10) || '{edit}')"
+
+    def kept(x: str, kind: str) -> str:
+        both = made(x, "1 + l", "R") if kind != "s" else "NULL"
+        return f"CASE WHEN NOT forced THEN least(CASE WHEN kind = '{kind}' THEN {made(x, 'l', 'K')} END, {both}) END"
+
+    def gone(x: str) -> str:
+        return made(x, "2", "D")
+    turn = "coalesce(CAST(turn AS VARCHAR), ' ')"
+    white = "\\x20\\x09-\\x0D"
+    insert = f"""least(x2, {made('x0', '5', 'I')}, {made('x1', '5', 'I')}, {made('x3', '5', 'I')})"""
+    return f"""
+WITH RECURSIVE c AS (SELECT *, {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || " + turn)} % 20 AS k FROM conversations),
+d AS (SELECT coalesce('=' || conv_id, '') AS g, turn, CASE WHEN k = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+          CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text,
+          unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE k <> 0),
+e AS (SELECT *, NOT regexp_matches(text, '[^{white}]') AS blank, row_number() OVER (
+          PARTITION BY g ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+          row_number() OVER (PARTITION BY g, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d),
+f AS (SELECT *, NOT blank AND again AS duplicate, NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][{white}]*$') AS short,
+          blank OR again AS forced, left(role, 1) AS kind, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS prior FROM e),
+s AS (SELECT g, coalesce(CAST(max(turn) - min(turn) + 1 - count(DISTINCT turn) AS BIGINT), 0) AS gaps, count(*) FILTER (blank) AS blank,
+          count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (short) AS truncated,
+          count(*) FILTER (prior IS NOT NULL AND prior || kind NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY g),
+p AS (SELECT g, CAST(0 AS BIGINT) AS i, '000000000' AS x0, CAST(NULL AS VARCHAR) AS x1, '000000005I' AS x2, '000000010II' AS x3 FROM s
+      UNION ALL
+      SELECT g, i, x0, x1, x2, least(x3, {made('x2', '5', 'I')}) FROM (
+          SELECT g, i, x0, x1, {insert} AS x2, x3 FROM (
+              SELECT p.g, q.i, {gone('x0')} AS x0, least({gone('x1')}, {kept('x0', 's')}) AS x1,
+                     least({gone('x2')}, {kept('x0', 'u')}, {kept('x1', 'u')}, {kept('x3', 'u')}) AS x2,
+                     least({gone('x3')}, {kept('x2', 'a')}) AS x3
+              FROM p JOIN (SELECT *, CASE WHEN short THEN 5 ELSE 0 END AS l FROM f) AS q ON p.g = q.g AND p.i + 1 = q.i))),
+b AS (SELECT g, arg_max(least(x0, x3), i) AS x FROM p GROUP BY g),
+o AS (SELECT g, unnest(string_split(substr(x, 10), '')) AS edit, generate_subscripts(string_split(substr(x, 10), ''), 1) AS j FROM b),
+w AS (SELECT *, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER v AS i, sum(CASE WHEN edit <> 'D' THEN 1 ELSE 0 END) OVER v AS n,
+          count(*) FILTER (edit <> 'D') OVER (PARTITION BY g) AS m FROM o WINDOW v AS (PARTITION BY g ORDER BY j)),
+h AS (SELECT w.g, sha256(string_agg(CASE WHEN edit = 'K' THEN f.role WHEN (n - m % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END
+          || ':' || CASE WHEN edit = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY n)) AS hash
+      FROM w JOIN f ON w.g = f.g AND f.i = greatest(w.i, 1) WHERE edit <> 'D' GROUP BY w.g)
+SELECT a.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+       coalesce(s.truncated, 0) AS truncated, coalesce(s.illegal, 0) AS illegal, CAST(coalesce(left(b.x, 9), '0') AS BIGINT) AS cost,
+       coalesce(substr(b.x, 10), '') AS audit, coalesce(h.hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS g FROM conversations) AS a
+LEFT JOIN s ON a.g = s.g LEFT JOIN b ON a.g = b.g LEFT JOIN h ON a.g = h.g"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_subspace_pigeonhole_join": _NEAR_VECTORS, "op3_warc_segments": _WARC,
-            "op12_block_matrix_neighbours": _NEIGHBOURS, "op13_merkle_manifest": _merkle()}
+            "op11_conversation_repair": _repair(), "op12_block_matrix_neighbours": _NEIGHBOURS, "op13_merkle_manifest": _merkle()}
