@@ -49,6 +49,13 @@ def check_orphans(tables: dict[str, DataFrame], dim: DataFrame, key: str, name:
     ])
 
 
+def check_grain(df: DataFrame, table: str, keys: Sequence[str], name: str) -> DataFrame:
+    """Rows beyond the first of each key; NULL keys count as equal. Rows are counted per key on the map side."""
+    extra = df.groupBy(*keys).agg((F.count("*") - 1).alias("_extra"))
+    return extra.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("failing_rows")).select(
+        F.lit(table).alias("table_name"), F.lit(name).alias("check_type"), "failing_rows")
+
+
 def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]], name: str) -> DataFrame:
     """Row counts of curated and raw tables; a negative variance lost rows, a positive one multiplied them."""
     rows = []

@@ -1,11 +1,13 @@
-"""The quality gate: 21 checks in five groups."""
+"""The quality gate: five groups of rules on facts, and three on what comes in (amounts, grain, bad lines)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.operators.quality import Rule, check_orphans, check_rules, reconcile
+from cloudtally.operators.quality import Rule, check_grain, check_orphans, check_rules, reconcile, union_all
 
 # Fixed value: the month format of the tagging file.
 MONTH_PATTERN = r"^\d{4}-\d{2}$"
@@ -39,6 +41,37 @@ def month_rule() -> Rule:
     return Rule("raw_tagging_compliance", "Invalid month format", ~F.col("month").rlike(MONTH_PATTERN))
 
 
+# Amounts of the raw tables, and the columns that name a row of each where the grain is documented.
+AMOUNTS = {
+    "usage_monthly": ("compute_hours", "storage_gb", "data_egress_gb", "utilisation_pct", "cost_usd"),
+    "tagging_compliance": ("tagged_pct", "untagged_cost_usd"),
+    "provider_spend": ("spend_usd",),
+    "migration_summary": ("pre_migration_cost_usd", "post_migration_cost_usd", "expected_savings_pct",
+                          "realized_savings_pct"),
+}
+GRAINS = {
+    "tagging_compliance": ("agency_id", "month"),
+    "provider_spend": ("agency_id", "year", "cloud_provider"),
+    "migration_summary": ("agency_id",),
+}
+
+
+def finite_rules() -> list[Rule]:
+    """Rows with an amount that no sum can hold: sums leave it out, so the facts would be too small in silence."""
+    def odd(column: str) -> Column:
+        return F.isnan(column) | (F.abs(column) == float("inf"))
+    return [Rule(f"raw_{t}", "Amount not finite", reduce(Column.__or__, [F.coalesce(odd(c), F.lit(False)) for c in columns]))
+            for t, columns in AMOUNTS.items()]
+
+
+def dq_finite(raw: dict[str, DataFrame]) -> DataFrame:
+    return check_rules({f"raw_{t}": raw[t] for t in AMOUNTS}, finite_rules())
+
+
+def dq_grain(raw: dict[str, DataFrame]) -> DataFrame:
+    return union_all([check_grain(raw[t], f"raw_{t}", keys, "Repeated key") for t, keys in GRAINS.items()])
+
+
 def dq_null_keys(facts: dict[str, DataFrame]) -> DataFrame:
     return check_rules(facts, null_key_rules())
 
@@ -56,20 +89,22 @@ def dq_month_format(tagging_raw: DataFrame) -> DataFrame:
     return check_rules({"raw_tagging_compliance": tagging_raw}, [month_rule()])
 
 
+SOURCES = {
+    "fact_usage_monthly": "usage_monthly",
+    "fact_migration_summary": "migration_summary",
+    "fact_tagging_compliance": "tagging_compliance",
+    "fact_provider_spend": "provider_spend",
+    "fact_cost_monthly": "usage_monthly",
+}
+
+
 def dq_row_counts(facts: dict[str, DataFrame], raw: dict[str, DataFrame]) -> DataFrame:
-    sources = {
-        "fact_usage_monthly": "usage_monthly",
-        "fact_migration_summary": "migration_summary",
-        "fact_tagging_compliance": "tagging_compliance",
-        "fact_provider_spend": "provider_spend",
-        "fact_cost_monthly": "usage_monthly",
-    }
-    return reconcile({f: (facts[f], raw[r]) for f, r in sources.items()}, "Row count reconciliation")
+    return reconcile({f: (facts[f], raw[r]) for f, r in SOURCES.items()}, "Row count reconciliation")
 
 
 def run_all(facts: dict[str, DataFrame], raw: dict[str, DataFrame], agency: DataFrame) -> DataFrame:
-    """All 21 checks as ``table_name, check_type, failing_rows``; a row-count variance of either sign fails."""
+    """All 28 checks as ``table_name, check_type, failing_rows``; a row-count variance of either sign fails."""
     counts = dq_row_counts(facts, raw).select("table_name", "check_type", F.abs("variance").alias("failing_rows"))
-    rules = check_rules({**facts, "raw_tagging_compliance": raw["tagging_compliance"]},
-                        null_key_rules() + bounds_rules() + [month_rule()])
-    return counts.unionByName(rules).unionByName(dq_orphans(facts, agency))
+    rules = check_rules({**facts, **{f"raw_{n}": df for n, df in raw.items()}},
+                        null_key_rules() + bounds_rules() + finite_rules() + [month_rule()])
+    return counts.unionByName(rules).unionByName(dq_orphans(facts, agency)).unionByName(dq_grain(raw))

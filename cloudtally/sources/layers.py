@@ -2,9 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+
+def written(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+            count: Mapping[str, Column] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``rebuild``, with ``rows`` and the rows that meet each condition of ``count``, counted while they are written."""
+    seen, names = Observation(), list(count or {})
+    counts = [F.count_if(count[n]).alias(f"c{i}") for i, n in enumerate(names)]
+    found = rebuild(df.observe(seen, F.count("*").alias("rows"), *counts), path, partition_by)
+    got = observed(seen)
+    return found, {"rows": got.get("rows", 0), **{n: got.get(f"c{i}", 0) for i, n in enumerate(names)}}
+
+
+def observed(seen: Observation) -> dict[str, int]:
+    """What was counted; nothing where Spark knew beforehand that there are no rows, and ran no observation."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite only the partitions that ``df`` has rows for."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = (), bucketed_table: str | None = None,
@@ -27,7 +53,8 @@ def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = (), bucketed
         writer.bucketBy(buckets, *bucket_by).option("path", path).saveAsTable(bucketed_table)
         return spark.table(bucketed_table)
     writer.save(path)
-    return load(spark, path)
+    # The schema is known, and a table without rows and with partitions has no file to tell it.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from cloudtally.sources.schemas import NULL_FOR_INVALID, RAW_SCHEMAS
 
-_CSV = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
+CSV = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
 
 
 def read_raw(spark: SparkSession, name: str, path: str | list[str], mode: str | None = None,
@@ -22,11 +22,11 @@ def read_raw(spark: SparkSession, name: str, path: str | list[str], mode: str |
     mode = mode or ("PERMISSIVE" if name in NULL_FOR_INVALID else "FAILFAST")
     if keep_corrupt:
         schema = schema.add("_corrupt_record", "string")
-    return spark.read.schema(schema).options(**_CSV, mode=mode).csv(path)
+    return spark.read.schema(schema).options(**CSV, mode=mode).csv(path)
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 class CsvInputs:
@@ -37,7 +37,10 @@ class CsvInputs:
         self.folder = folder.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return read_raw(self.spark, name, f"{self.folder}/{name}")
+        return read_raw(self.spark, name, self.path(name))
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
 
     def usage_monthly(self) -> DataFrame:
         return self._read("usage_monthly")
