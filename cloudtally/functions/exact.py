@@ -8,6 +8,8 @@ sums stay in generated code, a decimal sum costs several times more.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
@@ -53,6 +55,52 @@ def exact_avg(value: Column | str, digits: int = DIGITS, over: WindowSpec | None
     return ratio(exact_sum(value, digits, over), n)
 
 
+@dataclass(frozen=True)
+class Moments:
+    """Count, means and centred second moments of pairs, as aggregate expressions."""
+
+    n: Column
+    mean_x: Column
+    mean_y: Column
+    sxx: Column
+    sxy: Column
+    syy: Column
+
+    def corr(self) -> Column:
+        """Pearson's r; NULL where one side does not vary."""
+        varies = (self.sxx > 0) & (self.syy > 0)
+        return F.when(varies, F.greatest(F.least(self.sxy / F.sqrt(self.sxx) / F.sqrt(self.syy), F.lit(1.0)), F.lit(-1.0)))
+
+    def slope(self) -> Column:
+        """Of the least-squares line of y on x; NULL where x does not vary."""
+        return ratio(self.sxy, self.sxx)
+
+    def intercept(self) -> Column:
+        return self.mean_y - self.slope() * self.mean_x
+
+
+def moments(x: Column | str, y: Column | str) -> Moments:
+    """Moments of the pairs whose sides are both finite, each side kept to six decimals.
+
+    Sums of values and of products are decimals and add exactly, in any order and grouping; means are taken out of the
+    sums of products before anything becomes a double, so that large means cost no digits. A value from 1e12 stops
+    the query.
+    """
+    a, b = finite(x), finite(y)
+    both = a.isNotNull() & b.isNotNull()
+    a, b = (F.when(both, v).cast("decimal(18,6)") for v in (a, b))
+    n, sum_a, sum_b = F.count(F.when(both, 1)), F.sum(a), F.sum(b)
+
+    def centred(products: Column, left: Column, right: Column) -> Column:
+        mean = F.try_divide(right, n.cast("decimal(20,0)")).cast("decimal(36,18)")
+        return (F.sum(products) - left * mean).cast("double")
+
+    def mean(total: Column) -> Column:
+        return ratio(total.cast("double"), n)
+    return Moments(n, mean(sum_a), mean(sum_b), centred(a * a, sum_a, sum_a), centred(a * b, sum_a, sum_b),
+                   centred(b * b, sum_b, sum_b))
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """Division that gives NULL for a zero or missing divisor."""
     return top / F.nullif(bottom.cast("double"), F.lit(0.0))

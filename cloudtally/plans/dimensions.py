@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cloudtally.functions.dates import month_number_key, month_start, peak_flag, quarter_label
 from cloudtally.limits import Limits
-from cloudtally.operators.keys import fold_copies, number_rows
+from cloudtally.operators.keys import fold_copies, is_small, number_rows, number_small
 
 AGENCY_ATTRIBUTES = (
     "agency_name", "country", "country_code", "org_size", "sector_type", "aws_pref_region", "currency",
@@ -41,14 +41,21 @@ def dim_service(spark: SparkSession) -> DataFrame:
     """)
 
 
-def dim_region(agencies: DataFrame) -> DataFrame:
+def regions(agencies: DataFrame) -> DataFrame:
+    """One row per preferred region, without a number."""
+    return fold_copies(agencies, "aws_pref_region", ["region_group"])
+
+
+def dim_region(agencies: DataFrame, few: bool | None = None) -> DataFrame:
     """One row per preferred region, numbered by name.
 
-    Copies are folded before the numbering: numbering agency rows would give a region one row per
+    Whether they are ``few``, so that one task may number them, is counted unless it is known. Copies are folded before: numbering agency rows would give a region one row per
     agency, and every lookup on it would multiply fact rows.
     """
-    regions = fold_copies(agencies, "aws_pref_region", ["region_group"])
-    return number_rows(regions, "aws_pref_region", "region_id").select(
+    found = regions(agencies)
+    few = is_small(found) if few is None else few
+    number = number_small if few else number_rows
+    return number(found, "aws_pref_region", "region_id").select(
         "region_id", F.col("aws_pref_region").alias("aws_region"), "region_group", F.lit("Primary").alias("tier"))
 
 

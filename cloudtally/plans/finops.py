@@ -109,8 +109,12 @@ def spike_drivers(cost_fact: DataFrame) -> DataFrame:
 
 
 def spend_forecast(forecast_input: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Linear trend per agency with 80 % and 95 % bands, to whole cents."""
-    ahead = linear_forecast(dated(forecast_input), "agency_id", "month_index", "monthly_cost", limits.forecast_horizon,
+    """Linear trend per agency with 80 % and 95 % bands, to whole cents.
+
+    The line is over calendar months, so that a month without rows counts as time that passed.
+    """
+    months = dated(forecast_input).withColumn("_month", F.year("date_key") * 12 + F.month("date_key"))
+    ahead = linear_forecast(months, "agency_id", "_month", "monthly_cost", limits.forecast_horizon,
                             limits.band_z_80, limits.band_z_95, date="date_key")
     values = ("forecast", "low_80", "high_80", "low_95", "high_95")
     return ahead.select("agency_id", "step", "forecast_month", *[F.round(v, 2).alias(v) for v in values])

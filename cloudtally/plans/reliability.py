@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cloudtally.functions.exact import exact_avg, exact_sum, ratio
+from cloudtally.functions.exact import exact_avg, exact_sum, moments, ratio
 from cloudtally.functions.scoring import inside, weighted
 from cloudtally.limits import BEFORE_MIGRATION, Limits
 from cloudtally.operators.keys import lookup
@@ -104,10 +104,8 @@ def latency_vs_utilisation(performance: DataFrame) -> DataFrame:
 
 
 def correlation(x: str, y: str) -> Column:
-    """Pearson's r to six digits; NULL where one side does not vary."""
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    r = F.corr(a, b)
-    return F.round(F.when(~F.isnan(r), r), 6)
+    """Pearson's r to six digits, from sums that do not depend on row order; NULL where one side does not vary."""
+    return F.round(moments(x, y).corr(), 6)
 
 
 def risk_correlation(performance: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from functools import cached_property
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cloudtally.limits import Limits
-from cloudtally.operators.keys import counted_small
+from cloudtally.operators.keys import is_small
 from cloudtally.plans import dimensions, facts
 
 
@@ -55,13 +56,17 @@ class Warehouse:
     def dim_service(self) -> DataFrame:
         return dimensions.dim_service(self.spark)
 
+    @cached_property
+    def _few_regions(self) -> bool:
+        return is_small(dimensions.regions(self.agencies))
+
     @cached_property
     def dim_region(self) -> DataFrame:
-        return dimensions.dim_region(self.agencies)
+        return dimensions.dim_region(self.agencies, self._few_regions)
 
     @cached_property
     def dim_region_small(self) -> DataFrame:
-        return counted_small(self.dim_region)
+        return F.broadcast(self.dim_region) if self._few_regions else self.dim_region
 
     @cached_property
     def dim_date(self) -> DataFrame:

@@ -13,7 +13,7 @@ from cloudtally.sources.layers import observed
 from cloudtally.sources.raw import CSV
 from cloudtally.sources.schemas import NULL_FOR_INVALID, RAW_SCHEMAS
 
-#: What is wrong with a line: too few or too many fields, or a value that does not fit its type.
+#: What is wrong with a line: too few or too many fields, or values that do not fit their types.
 FIELDS, VALUE = "fields", "value"
 
 
@@ -31,23 +31,27 @@ def judged(spark: SparkSession, name: str, path: str | list[str]) -> DataFrame:
     """Every line of a raw table under its declared schema, with ``_line`` and ``_problem``, NULL for a sound one.
 
     ``_line`` is the text of a bad line. Only bad lines are looked at again, as plain text, to tell a wrong number of
-    fields from a value that does not fit.
+    fields from values that do not fit: those are named, as in ``value: year, spend_usd``.
     """
     schema = StructType.fromDDL(RAW_SCHEMAS[name])
+    plain = ", ".join(f"`{f.name}` string" for f in schema)
     options = {**CSV, "mode": "PERMISSIVE"}
-    lines = spark.read.schema(schema.add("_line", "string")).options(
+    lines = spark.read.schema(StructType([*schema, StructField("_line", StringType())])).options(
         **options, columnNameOfCorruptRecord="_line").csv(path)
-    plain = StructType([StructField(f.name, StringType()) for f in schema if f.name != "_line"]).add("_bad", "string")
-    again = F.from_csv("_line", plain.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
-                       {**options, "header": "false", "columnNameOfCorruptRecord": "_bad"})
-    return lines.withColumn("_problem", F.when(F.col("_line").isNotNull(), F.when(
-        again["_bad"].isNotNull(), FIELDS).otherwise(VALUE)))
+    again = F.from_csv("_line", f"{plain}, _bad string", {**options, "header": "false", "columnNameOfCorruptRecord": "_bad"})
+    # All columns are looked at: values of a column that nobody asks for are not parsed, and their faults not seen.
+    misfits = F.array_compact(F.array(*[F.when(F.col("_again")[f.name].isNotNull() & F.col(f.name).isNull(), f.name)
+                                        for f in schema]))
+    problem = F.when(F.col("_again")["_bad"].isNotNull(), FIELDS).when(
+        F.size(misfits) > 0, F.concat(F.lit(f"{VALUE}: "), F.array_join(misfits, ", "))).otherwise("line")
+    return lines.withColumn("_again", again).withColumn(
+        "_problem", F.when(F.col("_line").isNotNull(), problem)).drop("_again")
 
 
 def kept(name: str) -> Column:
     """Whether a judged line stays: sound ones, and where the table says so those whose bad values became NULL."""
     sound = F.col("_problem").isNull()
-    return sound | (F.col("_problem") == VALUE) if name in NULL_FOR_INVALID else sound
+    return sound | F.col("_problem").startswith(VALUE) if name in NULL_FOR_INVALID else sound
 
 
 def land(spark: SparkSession, name: str, path: str | list[str], out: str,

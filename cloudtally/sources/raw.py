@@ -25,8 +25,8 @@ def read_raw(spark: SparkSession, name: str, path: str | list[str], mode: str |
     return spark.read.schema(schema).options(**CSV, mode=mode).csv(path)
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV).csv(path)
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).options(**CSV).csv(path)
 
 
 class CsvInputs:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from cloudtally.functions.dates import month_text
 from cloudtally.functions.exact import exact_avg
+from cloudtally.session import stored
+from cloudtally.sources.raw import write_raw
 
 # Fixed values of the mapping.
 CUTOVER = "1998-07-01"
@@ -222,6 +224,17 @@ class SampleInputs:
             F.col("value").alias("latency_ms"))
 
 
+def write_with_faults(df: DataFrame, path: str, key: str) -> None:
+    """The rows as CSV, countries with a comma in them, and a broken line beside each: by the key's remainder by three it
+    has too few fields, text in the key's place, or a field too many."""
+    rows = stored(df.withColumn("country", F.concat("country", F.lit(", "), "country_code")), "faults")
+    write_raw(rows, path)
+    kind = F.pmod(F.col(key), F.lit(3))
+    write_raw(rows.filter(kind == 0).select(*df.columns[:2]), path, "append")
+    write_raw(rows.filter(kind == 1).withColumn(key, F.lit("n/a")), path, "append")
+    write_raw(rows.filter(kind == 2).withColumn("more", F.lit("1")), path, "append")
+
+
 def _cents(name: str) -> Column:
     """A two-digit amount as whole hundredths: integer sums are exact and stay in generated code."""
     return F.rint(F.col(name) * 100).cast("long")

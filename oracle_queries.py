@@ -239,6 +239,31 @@ def _table(name: str) -> str:
     return _with(f"SELECT * FROM {name}", name)
 
 
+def _intake(table: str, nulls: bool, key: str = "agency_id", commas_of_short: int = 1) -> str:
+    """Lines by fate: every row once, and once more broken by its key's remainder; ``nulls`` keeps bad values as NULL.
+
+    A line cut after two fields still has its country where that is one of them.
+    """
+    return _with(f"""
+        SELECT 'none' AS problem, TRUE AS kept, COUNT(*) AS lines, COUNT(*) AS commas FROM {table}
+        UNION ALL
+        SELECT 'fields', FALSE, COUNT(*), COUNT(*) FILTER ({key} % 3 = 2 OR {commas_of_short} = 1)
+        FROM {table} WHERE {key} % 3 IN (0, 2) HAVING COUNT(*) > 0
+        UNION ALL
+        SELECT 'value: {key}', {nulls}, COUNT(*), COUNT(*) FROM {table} WHERE {key} % 3 = 1 HAVING COUNT(*) > 0""", table)
+
+
+def _odd_amounts(table: str, *columns: str) -> str:
+    test = " OR ".join(f"NOT isfinite({c})" for c in columns)
+    return (f"SELECT 'raw_{table}' AS table_name, 'Amount not finite' AS check_type, COUNT(*) AS failing_rows "
+            f"FROM {table} WHERE {test}")
+
+
+def _repeated(table: str, *keys: str) -> str:
+    return (f"SELECT 'raw_{table}' AS table_name, 'Repeated key' AS check_type, COALESCE(SUM(n - 1), 0)::BIGINT AS failing_rows "
+            f"FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {', '.join(keys)})")
+
+
 def _fails(table: str, label: str, condition: str) -> str:
     return (f"SELECT '{table}' AS table_name, '{label}' AS check_type, COUNT(*) AS failing_rows "
             f"FROM {table} WHERE {condition}")
@@ -290,6 +315,12 @@ def statements() -> dict[str, str]:
         "scan_agencies": _table("agencies"),
         "scan_adoption": _table("baseline_adoption"),
         "scan_tagging": _table("tagging_compliance"),
+        "intake_usage": _intake("usage_monthly", False),
+        "intake_provider_spend": _intake("provider_spend", True),
+        "intake_migration": _intake("migration_summary", True),
+        "intake_agencies": _intake("agencies", False, commas_of_short=0),
+        "intake_adoption": _intake("baseline_adoption", False, "year"),
+        "intake_tagging": _intake("tagging_compliance", False),
         # ---- tables ----
         **{n: _table(n) for n in (
             "dim_agency_clean", "dim_region", "dim_date", "fact_usage_monthly", "fact_cost_monthly",
@@ -412,6 +443,18 @@ def statements() -> dict[str, str]:
             _fails("fact_tagging_compliance", "Negative untagged_cost_usd", "untagged_cost_usd < 0"),
             _fails("fact_provider_spend", "provider_share_pct out of bounds", "provider_share_pct NOT BETWEEN 0 AND 1"),
         ]), "fact_usage_monthly", "fact_tagging_compliance", "fact_provider_spend"),
+        "dq_finite": _with("\nUNION ALL ".join([
+            _odd_amounts("usage_monthly", "compute_hours", "storage_gb", "data_egress_gb", "utilisation_pct", "cost_usd"),
+            _odd_amounts("tagging_compliance", "tagged_pct", "untagged_cost_usd"),
+            _odd_amounts("provider_spend", "spend_usd"),
+            _odd_amounts("migration_summary", "pre_migration_cost_usd", "post_migration_cost_usd", "expected_savings_pct",
+                         "realized_savings_pct"),
+        ]), "usage_monthly", "tagging_compliance", "provider_spend", "migration_summary"),
+        "dq_grain": _with("\nUNION ALL ".join([
+            _repeated("tagging_compliance", "agency_id", "month"),
+            _repeated("provider_spend", "agency_id", "year", "cloud_provider"),
+            _repeated("migration_summary", "agency_id"),
+        ]), "tagging_compliance", "provider_spend", "migration_summary"),
         "dq_orphans": _with("\nUNION ALL ".join(
             _orphan(t) for t in ("fact_usage_monthly", "fact_tagging_compliance", "fact_migration_summary")),
             "fact_usage_monthly", "fact_tagging_compliance", "fact_migration_summary", "dim_agency_clean"),
@@ -559,7 +602,7 @@ def _finops() -> dict[str, str]:
     fit = """
         SELECT agency_id, COUNT(*) AS n, MAX(date_key) AS last_month, regr_avgx(y, x) AS mx, MAX(x) AS last_x, regr_slope(y, x) AS b,
                regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy
-        FROM (SELECT agency_id, date_key, month_index::DOUBLE AS x, monthly_cost AS y FROM fact_forecast_input
+        FROM (SELECT agency_id, date_key, (year(date_key) * 12 + month(date_key))::DOUBLE AS x, monthly_cost AS y FROM fact_forecast_input
               WHERE date_key IS NOT NULL)
         GROUP BY agency_id"""
     ahead = f"""

@@ -1,10 +1,12 @@
 import datetime
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cloudtally.functions import dates
-from cloudtally.functions.exact import exact_avg, exact_sum, ratio, round_money
+from cloudtally.functions.exact import exact_avg, exact_sum, moments, ratio, round_money
 from cloudtally.functions.scoring import above, inside, up_to, weighted
 from cloudtally.limits import Limits
 from tests.conftest import rows
@@ -121,3 +123,30 @@ def test_ratio_of_zero(spark):
 def test_round_money_halves(spark):
     found = spark.range(1).select(round_money(F.lit(1.005)), round_money(F.lit(-1.005))).first()
     assert tuple(found) == (1.01, -1.01)
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+def test_moments_do_not_depend_on_order(spark, offset):
+    pick = random.Random(3)
+    data = [(i % 3, offset + pick.gauss(0, 1), 5 + pick.gauss(0, 40) * (i % 3)) for i in range(3000)]
+    frame = spark.createDataFrame([*data, (0, None, 1.0), (0, 1.0, float("nan")), (1, float("inf"), 2.0), (9, 1.0, 2.0)],
+                                  "g int, x double, y double")
+    m = moments("x", "y")
+
+    def found(parts):
+        spread = frame.repartition(parts).groupBy("g").agg(m.n.alias("n"), m.corr().alias("r"), m.slope().alias("slope"),
+                                                           m.intercept().alias("intercept"), m.syy.alias("syy"))
+        return sorted(tuple(r) for r in spread.collect())
+    first = found(1)
+    assert first == found(7) == found(200)
+    for g, n, r, slope, intercept, syy in first[:3]:
+        x, y = (np.round([row[k] for row in data if row[0] == g], 6) for k in (1, 2))
+        assert n == 1000 and syy == pytest.approx(((y - y.mean()) ** 2).sum(), rel=1e-9)
+        if g:
+            assert r == pytest.approx(np.corrcoef(x, y)[0, 1], rel=1e-9)
+            line = np.polyfit(x - x.mean(), y, 1)
+            assert slope == pytest.approx(line[0], rel=1e-8)
+            assert intercept == pytest.approx(line[1] - line[0] * x.mean(), rel=1e-8)
+        else:
+            assert r is None and slope == pytest.approx(0, abs=1e-12)
+    assert first[3] == (9, 1, None, None, None, 0.0)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cloudtally.operators import keys, series, shares
 from cloudtally.operators.forecast import linear_forecast
 from cloudtally.operators.ranking import ranks, top_k, top_k_within, with_ranks
-from cloudtally.plans import finops
+from cloudtally.plans import dimensions, finops
 from tests.conftest import plan, rows
 
 
@@ -54,6 +54,28 @@ def test_number_rows(spark):
     assert rows(keys.number_rows(dim, "name", "id"), "id") == [("a", 1), ("b", 2), (None, 3)]
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_number_rows_by_ranges(spark, parts):
+    values = [None if i % 50 == 0 else f"n{i * 7919 % 3001:05d}" for i in range(3000)] + ["n00007"] * 40
+    dim = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "name string, i int").repartition(parts)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        numbered = keys.number_rows(dim, "name", "id")
+        found = numbered.orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert [r.id for r in found] == list(range(1, len(values) + 1))
+    assert [r.name for r in found] == sorted(values, key=lambda v: (v is None, v or ""))
+    assert sorted(r.i for r in found) == list(range(len(values)))
+    assert "Window" not in plan(numbered) and "SinglePartition" not in plan(numbered)
+    assert keys.number_rows(dim.limit(0), "name", "id").count() == 0
+
+
+def test_both_numberings_agree(spark):
+    agencies = spark.createDataFrame([(f"r{i % 23}", "g") for i in range(200)], "aws_pref_region string, region_group string")
+    assert rows(dimensions.dim_region(agencies, few=True)) == rows(dimensions.dim_region(agencies, few=False))
+
+
 # --- series ---
 
 @pytest.mark.parametrize("n", [1, 2, 3, 6, 7])
@@ -260,3 +282,10 @@ def test_provider_outside_the_list_counts_in_the_total(spark):
                                   "agency_id int, year int, cloud_provider string, spend_usd double")
     row = finops.provider_pivot(spend).first()
     assert (row.other_spend_usd, row.total_spend_usd, row.aws_share) == (40.0, 100.0, 0.6)
+
+
+def test_forecast_counts_months_without_rows(spark):
+    line = spark.createDataFrame([(1, month(m), 10.0 * m, i) for i, m in enumerate([1, 2, 3, 9, 10])],
+                                 "agency_id int, date_key date, monthly_cost double, month_index int")
+    found = finops.spend_forecast(line).orderBy("step").collect()
+    assert [(str(r.forecast_month), r.forecast) for r in found[:2]] == [("2024-11-01", 110.0), ("2024-12-01", 120.0)]

@@ -12,7 +12,7 @@ import __spark_entry__ as entry_point
 ORACLE = entry_point.oracle_sql()
 # The training-data operators have tests of their own.
 QUERIES = {n: q for n, q in entry_point.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")

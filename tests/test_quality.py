@@ -6,7 +6,8 @@ import pytest
 
 from cloudtally.operators.quality import QualityError, assert_clean
 from cloudtally.plans import checks
-from tests.conftest import rows
+from cloudtally.sources.schemas import RAW_SCHEMAS
+from tests.conftest import plan, rows
 
 JAN = datetime.date(2025, 1, 1)
 GOOD = {
@@ -35,10 +36,46 @@ def tables(spark, changed=None, extra=None):
     return built
 
 
-def raw(spark, facts, months=("2025-01",)):
-    tagging = spark.createDataFrame([(m,) for m in months], "month string")
-    return {"usage_monthly": facts["fact_usage_monthly"], "migration_summary": facts["fact_migration_summary"],
-            "tagging_compliance": tagging, "provider_spend": facts["fact_provider_spend"]}
+def raw(spark, facts, months=("2025-01",), changed=None):
+    """Raw tables of as many rows as the facts; ``changed`` is (table, column, value) of a row more."""
+    kinds = {t: ", ".join(f"{c} {k}" for c, k in (x.rsplit(" ", 1) for x in RAW_SCHEMAS[t].split(", "))) for t in checks.AMOUNTS}
+
+    def made(table, n):
+        names = [c.split()[0] for c in kinds[table].split(", ")]
+        good = {"month": months[0], "year": 2025, "cloud_provider": "AWS", "agency_id": 1}
+        rows_ = [{c: good.get(c) if c != "agency_id" else 1 + i for c in names} for i in range(n)]
+        if changed and changed[0] == table:
+            rows_.append({**rows_[0], "agency_id": 7, changed[1]: changed[2]})
+        return spark.createDataFrame([tuple(r.values()) for r in rows_], kinds[table])
+    found = {t: made(t, facts[f].count()) for t, f in (
+        ("usage_monthly", "fact_usage_monthly"), ("migration_summary", "fact_migration_summary"),
+        ("provider_spend", "fact_provider_spend"), ("tagging_compliance", "fact_tagging_compliance"))}
+    if len(months) > 1:
+        found["tagging_compliance"] = spark.createDataFrame([(m,) for m in months], "month string")
+    return found
+
+
+@pytest.mark.parametrize("table, column", [(t, c) for t, columns in checks.AMOUNTS.items() for c in columns])
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), float("-inf")])
+def test_amount_that_is_not_finite_fires(spark, table, column, value):
+    found = checks.dq_finite(raw(spark, tables(spark), changed=(table, column, value)))
+    assert found.count() == 4
+    assert failing(found) == {(f"raw_{table}", "Amount not finite"): 1}
+
+
+@pytest.mark.parametrize("table", list(checks.GRAINS))
+def test_repeated_key_fires(spark, table):
+    good = raw(spark, tables(spark))
+    assert failing(checks.dq_grain(good)) == {}
+    twice = {**good, table: good[table].union(good[table]).union(good[table])}
+    assert failing(checks.dq_grain(twice)) == {(f"raw_{table}", "Repeated key"): 2}
+
+
+def test_one_hot_key_is_counted_without_a_window(spark):
+    spend = spark.range(30_000).selectExpr("1 AS agency_id", "2024 AS year", "if(id % 3 = 0, 'AWS', NULL) AS cloud_provider")
+    found = checks.check_grain(spend, "t", ("agency_id", "year", "cloud_provider"), "Repeated key")
+    assert rows(found) == [("t", "Repeated key", 29_998)]
+    assert "Window" not in plan(found) and "partial_count" in plan(found)
 
 
 def agency(spark):
@@ -100,7 +137,7 @@ def test_row_count_fires(spark, table):
 def test_clean_run(spark):
     good = tables(spark)
     found = checks.run_all(good, raw(spark, good), agency(spark))
-    assert found.count() == 21
+    assert found.count() == 28
     assert failing(found) == {}
     assert_clean(found)
 

@@ -55,7 +55,7 @@ def test_a_table_without_null_for_invalid_sets_bad_values_aside(spark, tmp_path)
                                     "1,C,CC,2024-01,x,1\n1,C,CC,2024-02,90,\n")
     got = land(spark, "tagging_compliance", str(tmp_path / "t.csv"), str(tmp_path / "out"))
     assert got.counts == {"kept": 1, "nulled": 0, "quarantined": 1}
-    assert rows(got.quarantine) == [("1,C,CC,2024-01,x,1", "value")]
+    assert rows(got.quarantine) == [("1,C,CC,2024-01,x,1", "value: tagged_pct")]
     assert rows(got.rows) == [(1, "C", "CC", "2024-02", 90.0, None)]
 
 
