@@ -9,7 +9,7 @@ from cloudtally.functions.exact import MONEY_DIGITS, exact_avg, exact_sum, flag,
 from cloudtally.limits import PROVIDERS, SERVICES, Limits
 from cloudtally.operators.forecast import linear_forecast
 from cloudtally.operators.keys import lookup
-from cloudtally.operators.ranking import ranks, top_k, with_ranks
+from cloudtally.operators.ranking import ranks, ranks_within, top_k, with_ranks
 from cloudtally.operators.series import (
     by_month,
     dated,
@@ -307,13 +307,17 @@ def financial_risk_rank(optimisation: DataFrame, variance: DataFrame) -> DataFra
         F.coalesce(ratio(F.col("idle_usd"), F.col("actual_spend_usd")), F.lit(0.0)).alias("waste_share"),
         *[F.coalesce(n, F.lit(0.0)).alias(n) for n in ("untagged_usd", "high_risk_usd")])
     names = ("overrun_usd", "waste_share", "untagged_usd", "high_risk_usd")
-    # A row per agency, read by every ranking; the facts behind it are computed once.
-    parts = ranked = stored(parts, "risk-parts")
-    for n in names:
-        ranked = with_ranks(ranked, ranks(parts, n, f"_{n}", percent=True), n)
+    # One row per agency; the facts behind it are computed once for all that reads it.
+    parts = stored(parts.withColumn("_row", F.monotonically_increasing_id()), "risk-parts")
+    cells = parts.select("_row", "agency_id", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("part"), F.col(n).alias("value")) for i, n in enumerate(names)])).alias("cell")).select("_row", "agency_id", "cell.*")
+    shares = ranks_within(cells, "part", "value", "share", percent=True)
+    ranked = cells.join(shares.withColumnRenamed("part", "_part"), (F.col("part") == F.col("_part")) & F.col("value").eqNullSafe(F.col("_v")))
+    # One percent rank for each part, added in their order.
+    by_part = ranked.groupBy("_row", "agency_id").agg(*[F.max(F.when(F.col("part") == i, F.col("value"))).alias(n) for i, n in enumerate(names)],
+                                              *[F.max(F.when(F.col("part") == i, F.col("share"))).alias(f"_{n}") for i, n in enumerate(names)])
     total = F.col(f"_{names[0]}")
     for n in names[1:]:
         total = total + F.col(f"_{n}")
-    scored = ranked.withColumn("risk_score", total / len(names)).select("agency_id", *names, "risk_score")
-    scored = stored(scored, "risk-scores")
+    scored = by_part.withColumn("risk_score", total / len(names)).select("agency_id", *names, "risk_score")
     return with_ranks(scored, ranks(scored, "risk_score", "risk_rank", descending=True), "risk_score")
