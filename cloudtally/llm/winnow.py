@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import map_batches, ship
+from cloudtally.llm.common import cut, map_batches, ship
 
 _BASE = 0x9E3779B97F4A7C15
 _POSITION = (1 << 24) - 1
@@ -105,37 +106,60 @@ def fingerprints(docs: DataFrame, k: int = 16, w: int = 32) -> DataFrame:
 def with_next(docs: DataFrame, bucket_docs: int = 1024, most_buckets: int = 100_000) -> DataFrame:
     """Texts in buckets of ascending doc_id, sorted; each bucket ends with the first text of the next one.
 
-    Quantiles of the ids bound the buckets (at most `most_buckets`, held on the driver); the first documents of
-    buckets are broadcast by id only. Null ids come last; rows of one id are in order of a hash of their text.
+    Quantiles of the ids bound the buckets (about `most_buckets` at most, held on the driver; beyond that they grow, and a
+    task still holds two texts at a time). Null ids come last; rows of one id are in order of a hash of their text. An id
+    that repeats very often, null too, is a bucket of its own and cut further by that hash. The first rows of buckets are
+    broadcast by id and hash only.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    n = rows.count()
-    wanted = min(most_buckets, -(-n // bucket_docs))
-    edges = []
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "mark", F.xxhash64("text"))
+    keys = cut(rows.select("doc_id", "mark"))
+    wanted = min(most_buckets, -(-keys.count() // bucket_docs))
+    found = []
     if wanted > 1:
-        edges = sorted({int(e) for e in rows.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)})
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(edges) + 1)).otherwise(_ranked(F.col("doc_id"), edges))
-    rows = rows.withColumn("bucket", bucket)
-    heads = sorted((r.bucket, r.head) for r in rows.groupBy("bucket").agg(F.min("doc_id").alias("head")).collect())
-    before = [(heads[i][1], heads[i - 1][0]) for i in range(len(heads))]
-    first = rows.sparkSession.createDataFrame(before, "head long, before long")
-    marked = rows.join(F.broadcast(first), rows["doc_id"].eqNullSafe(first["head"]), "left")
+        found = sorted(int(e) for e in keys.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 0.2 / wanted))
+    # An id at several quantiles is a bucket of its own: it ends where the next id begins.
+    edges = sorted({*found, *(a + 1 for a, b in pairwise(found) if a == b)})
+    rough = F.when(F.col("doc_id").isNull(), F.lit(len(edges) + 1)).otherwise(below(F.col("doc_id"), edges))
+    sizes = keys.groupBy(rough.alias("bucket")).agg(
+        F.count("*").alias("n"), (F.min("doc_id").eqNullSafe(F.max("doc_id"))).alias("single")).collect()
+    parts = [1] * (len(edges) + 2)
+    for r in sizes:
+        if r.single:
+            parts[r.bucket] = max(1, -(-r.n // bucket_docs))
+    base = [0, *accumulate(parts)][:-1]
+    spot = (F.shiftright("mark", 11).cast("double") + 2.0 ** 52) / 2.0 ** 53
+
+    def placed(frame: DataFrame) -> DataFrame:
+        bucket = F.get(_longs(base), F.col("rough")) + F.floor(spot * F.get(_longs(parts), F.col("rough"))).cast("long")
+        return frame.withColumn("rough", rough.cast("int")).withColumn("bucket", bucket).drop("rough")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("head")
+    heads = sorted((r.bucket, r.head.doc_id, r.head.mark) for r in placed(keys).groupBy("bucket").agg(least).collect())
+    before = [(heads[i][1], heads[i][2], heads[i - 1][0]) for i in range(len(heads))]
+    first = rows.sparkSession.createDataFrame(before, "head long, head_mark long, before long")
+    rows = placed(rows)
+    marked = rows.join(F.broadcast(first), rows["doc_id"].eqNullSafe(first["head"]) & (rows["mark"] == first["head_mark"]), "left")
     at = F.explode(F.filter(F.array(F.struct("bucket", F.lit(False).alias("last")),
                                     F.struct(F.col("before").alias("bucket"), F.lit(True).alias("last"))),
                             lambda s: s["bucket"].isNotNull())).alias("at")
-    dealt = marked.select("doc_id", "text", at).select("doc_id", "text", "at.bucket", "at.last")
+    dealt = marked.select("doc_id", "text", "mark", at).select("doc_id", "text", "mark", "at.bucket", "at.last")
     return dealt.repartition("bucket").sortWithinPartitions(
-        "bucket", "last", F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
+        "bucket", "last", F.col("doc_id").isNull(), "doc_id", "mark").drop("mark")
 
 
-def _ranked(column, edges: list[int]):
-    """How many edges are at most the column's value, by halving: a nest of conditions as deep as a logarithm."""
-    def part(low: int, high: int):
-        if low == high:
-            return F.lit(low).cast("long")
-        mid = (low + high) // 2
-        return F.when(column < edges[mid], part(low, mid)).otherwise(part(mid + 1, high))
-    return part(0, len(edges))
+def _longs(values: list[int]) -> Column:
+    """An array literal; one string to the parser, whatever its length."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def below(column: Column, edges: list[int]) -> Column:
+    """How many of the sorted edges are at most the column's value, by halving over one array literal."""
+    if not edges:
+        return F.lit(0)
+    steps = [1 << k for k in reversed(range(len(edges).bit_length()))]
+    # Beyond the last edge `get` is null, and the step is not taken.
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda low, step: low + F.when(
+        F.get(_longs(edges), low + step - 1) <= column, step).otherwise(0))
 
 
 def edited_likeness(docs: DataFrame, k: int = 16, w: int = 32, bucket_docs: int = 1024) -> DataFrame:

@@ -1,8 +1,11 @@
+import bisect
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cloudtally.llm import winnow
 
@@ -85,3 +88,25 @@ def test_odd_rows(docs):
     assert winnow.edited_likeness(docs([])).count() == 0
     kept = {r.doc_id: (r.hashes, r.positions) for r in winnow.fingerprints(docs([(1, None), (2, "abc")])).collect()}
     assert kept[1] == ([], []) and kept[2][1] == [0]
+
+
+def test_one_hundred_thousand_buckets_are_planned_quickly(spark):
+    edges = sorted(random.Random(2).sample(range(-10 ** 15, 10 ** 15), 100_000))
+    asked = [edges[0] - 1, edges[0], edges[0] + 1, *edges[70_000:70_010], edges[-1] - 1, edges[-1], 10 ** 16, 0]
+    frame = spark.createDataFrame([(a,) for a in asked], "a long")
+    start = time.perf_counter()
+    found = frame.select("a", winnow.below(F.col("a"), edges).alias("n"))
+    found._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 5
+    assert [tuple(r) for r in found.collect()] == [(a, bisect.bisect_right(edges, a)) for a in asked]
+
+
+def test_hot_ids_are_cut_into_buckets(docs):
+    rows = [(None, f"null {i} " * 3) for i in range(300)] + [(5, f"five {i} " * 3) for i in range(300)]
+    rows += [(i, f"own {i}") for i in range(40)] + [(5, "twice")] * 30
+    laid = winnow.with_next(docs(rows), bucket_docs=16).filter("not last")
+    sizes = {r.bucket: r["count"] for r in laid.groupBy("bucket").count().collect()}
+    assert sum(sizes.values()) == len(rows) and max(sizes.values()) < 90
+    got = winnow.edited_likeness(docs(rows), bucket_docs=16).collect()
+    whole = winnow.edited_likeness(docs(rows), bucket_docs=10_000).collect()
+    assert sorted(map(str, got)) == sorted(map(str, whole)) and len(got) == len(rows)
