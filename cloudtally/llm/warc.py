@@ -13,6 +13,7 @@ import gzip
 import hashlib
 import io
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ _END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD = ("record string, type string, origin string, segment int, total long, page_id long, refers_to long, "
-           "digest string, block binary")
+           "digest string, block binary, problem string")
+_OWN = re.compile(r"urn:page:(-?\d*)(?::|$)")
 
 
 def digest(payload: bytes) -> str:
@@ -128,7 +130,7 @@ def write_archives(pages: DataFrame, path: str, file_records: int = 1024, **opti
 
 
 def _parse(archive: bytes):
-    """The records of one archive; a broken one raises."""
+    """The records of one archive; raises where it is broken."""
     file = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(archive)))
     while True:
         line = file.readline()
@@ -142,6 +144,8 @@ def _parse(archive: bytes):
         while (line := file.readline()) not in (b"\r\n", b""):
             key, _, value = line.decode().partition(":")
             fields[key.lower()] = value.strip()
+        if not {"warc-record-id", "warc-type", "content-length"} <= fields.keys():
+            raise ValueError("a record lacks a required field")
         n = int(fields["content-length"])
         block = file.read(n)
         if len(block) != n or file.read(4) != _END.encode():
@@ -150,56 +154,66 @@ def _parse(archive: bytes):
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: identifier, type, origin (its own for first or only segments), segment, and block."""
+    """One row per record: identifier, type, origin (its own for first or only segments), segment, and block.
+
+    `page_id` and `refers_to` are those that `records` writes into identifiers, and null for records of other writers.
+    An archive that breaks off gives its sound records and a row of type `broken` whose `problem` says where.
+    """
     def number(text: str | None) -> int | None:
         return int(text) if text else None
 
     def bare(text: str | None) -> str | None:
         return text.strip("<>") if text else None
 
+    def page(name: str | None) -> int | None:
+        own = _OWN.match(name or "")
+        return number(own[1]) if own else None
+    schema = pa.schema([
+        ("record", pa.string()), ("type", pa.string()), ("origin", pa.string()), ("segment", pa.int32()),
+        ("total", pa.int64()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("digest", pa.string()),
+        ("block", pa.binary()), ("problem", pa.string())])
+
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
-            for archive in batch.column(0).to_pylist():
-                for f, block in _parse(archive):
-                    name, kind = bare(f["warc-record-id"]), f["warc-type"]
-                    page = name.split(":")[2] if kind != "continuation" else ""
-                    refers = bare(f.get("warc-refers-to"))
-                    sha = f.get("warc-payload-digest")
-                    out.append({
-                        "record": name, "type": kind, "origin": bare(f.get("warc-segment-origin-id")) or name,
-                        "segment": number(f.get("warc-segment-number")), "total": number(f.get("warc-segment-total-length")),
-                        "page_id": number(page), "refers_to": number(refers.split(":")[2]) if refers else None,
-                        "digest": sha.partition(":")[2] if sha else None, "block": block})
-            return pa.RecordBatch.from_pylist(out, pa.schema([
-                ("record", pa.string()), ("type", pa.string()), ("origin", pa.string()), ("segment", pa.int32()),
-                ("total", pa.int64()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("digest", pa.string()),
-                ("block", pa.binary())]))
+            for name, archive in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    for f, block in _parse(archive):
+                        record, kind, sha = bare(f["warc-record-id"]), f["warc-type"], f.get("warc-payload-digest")
+                        out.append({
+                            "record": record, "type": kind, "origin": bare(f.get("warc-segment-origin-id")) or record,
+                            "segment": number(f.get("warc-segment-number")), "total": number(f.get("warc-segment-total-length")),
+                            "page_id": page(record) if kind != "continuation" else None,
+                            "refers_to": page(bare(f.get("warc-refers-to"))), "digest": sha.partition(":")[2] if sha else None,
+                            "block": block})
+                except (ValueError, OSError, EOFError, zlib.error) as e:
+                    out.append({"type": "broken", "problem": f"{name}: {e}"})
+            return pa.RecordBatch.from_pylist(out, schema)
         return work
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return map_batches(files, make, _RECORD)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    return map_batches(files, make, _RECORD, rows=1)
 
 
 def payloads(found: DataFrame) -> DataFrame:
-    """`page_id`, `digest`, `payload`, `payload_bytes`, `payload_digest`, `problem` for every response.
+    """`page_id`, `digest`, `payload`, `payload_bytes`, `payload_digest`, `problem` for every response (records of other types
+    are passed over).
 
     Segments are grouped by origin (one page each), ordered by number and joined. `problem` says why a payload is
     null: a segment is missing or doubled, the joined length differs from the total the last one states, the framing is
     broken; or that the payload's digest differs from the header's.
     """
-    some = found.filter("type <> 'revisit'")
-    alone = some.filter("segment is null").select("page_id", "digest", F.lit("").alias("fault"), "block")
+    some = found.filter(F.col("type").isin("response", "continuation"))
+    alone = some.filter("segment is null").select("page_id", "digest", F.lit("").alias("fault"), F.array("block").alias("blocks"))
     parts = F.sort_array(F.collect_list(F.struct("segment", "block")))
     joined = (some.filter("segment is not null").groupBy("origin").agg(
         F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.max("total").alias("total"),
-        parts.alias("parts"))
-        .withColumn("block", F.concat(F.lit(b""), F.aggregate(
-            "parts", F.lit(b"").cast("binary"), lambda whole, p: F.concat(whole, p["block"])))))
+        parts.alias("parts")))
+    length = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.length(p["block"]))
     numbers = F.transform("parts", lambda p: p["segment"])
     fault = (F.when(numbers != F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1))), "segments are missing or doubled")
              .when(F.col("total").isNull(), "the last segment is missing")
-             .when(F.length("block") != F.col("total"), "the length differs from the total").otherwise(""))
-    joined = joined.select("page_id", "digest", fault.alias("fault"), "block")
+             .when(length != F.col("total"), "the length differs from the total").otherwise(""))
+    joined = joined.select("page_id", "digest", fault.alias("fault"), F.col("parts.block").alias("blocks"))
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -207,13 +221,13 @@ def payloads(found: DataFrame) -> DataFrame:
             for r in batch.to_pylist():
                 payload, problem = None, r["fault"] or None
                 if not problem:
-                    head, _, body = r["block"].partition(_END.encode())
+                    head, _, body = b"".join(r["blocks"]).partition(_END.encode())
                     try:
                         payload = unframed(body) if b"transfer-encoding: chunked" in head.lower() else body
                     except ValueError as e:
                         problem = str(e)
                 sha = None if payload is None else digest(payload)
-                if sha and sha != r["digest"]:
+                if sha and r["digest"] and sha != r["digest"]:
                     problem = "the digest differs"
                 out.append({"page_id": r["page_id"], "digest": r["digest"], "payload": payload,
                             "payload_bytes": None if payload is None else len(payload), "payload_digest": sha,
@@ -223,14 +237,14 @@ def payloads(found: DataFrame) -> DataFrame:
                 ("payload_digest", pa.string()), ("problem", pa.string())]))
         return work
     return map_batches(alone.unionByName(joined), make, "page_id long, digest string, payload binary, payload_bytes long, "
-                                                        "payload_digest string, problem string")
+                                                        "payload_digest string, problem string", rows=8)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """`page_id`, `payload_bytes`, `payload_digest`, `record_type`, `refers_to`, `problem` for each page archived.
 
     A revisit takes its payload's facts from the response it refers to, and a problem if there is none. A response
-    with a problem keeps its row.
+    with a problem keeps its row, and an archive that breaks off adds one of `record_type` broken without a page.
     """
     found = read_records(spark, path)
     whole = payloads(found).drop("payload")
@@ -242,4 +256,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
         targets, ["refers_to", "digest"], "left").select(
         "page_id", "payload_bytes", "payload_digest", F.lit("revisit").alias("record_type"), "refers_to",
         F.when(F.col("payload_digest").isNull(), "its response is missing").alias("problem"))
-    return responses.unionByName(revisits)
+    none = F.lit(None).cast("long")
+    broken = found.filter("type = 'broken'").select(
+        none.alias("page_id"), none.alias("payload_bytes"), F.lit(None).cast("string").alias("payload_digest"),
+        F.col("type").alias("record_type"), none.alias("refers_to"), "problem")
+    return responses.unionByName(revisits).unionByName(broken)

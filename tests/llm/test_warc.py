@@ -1,4 +1,5 @@
 import gzip
+import time
 
 import pandas as pd
 import pytest
@@ -76,3 +77,34 @@ def test_no_pages_and_small_payloads(spark, tmp_path):
     warc.write_archives(pages(spark, ROWS), str(tmp_path / "some"), smallest=5)
     kinds = {(r.page_id, r.record_type) for r in warc.read_pages(spark, str(tmp_path / "some")).collect()}
     assert {k for k in kinds if k[1] == "revisit"} == set()
+
+
+def test_broken_and_foreign_archives(spark, tmp_path):
+    path = tmp_path / "archives"
+    warc.write_archives(pages(spark, [(i, "u", f"page {i} " * 50) for i in range(6)]).coalesce(1), str(path))
+    good = next(path.glob("*.gz")).read_bytes()
+    (path / "cut.gz").write_bytes(good[:len(good) // 2])
+    (path / "noise.gz").write_bytes(b"not an archive at all")
+    (path / "text.gz").write_bytes(gzip.compress(b"hello\r\n"))
+    info = b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:uuid:7c1e>\r\n%sContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    body = b"HTTP/1.1 200 OK\r\n\r\nplain body"
+    (path / "foreign.gz").write_bytes(gzip.compress(info % (b"warcinfo", b"", 3, b"abc") + info % (b"response", b"", len(body), body)))
+    (path / "empty.gz").write_bytes(gzip.compress(b""))
+    found = warc.read_records(spark, str(path))
+    kinds = {(r.type, (r.problem or "").split("/")[-1].split(":")[0]) for r in found.collect()}
+    assert {k for k in kinds if k[0] == "broken"} == {("broken", f) for f in ("cut.gz", "noise.gz", "text.gz")}
+    got = warc.read_pages(spark, str(path)).collect()
+    assert {r.page_id for r in got if r.record_type == "response" and r.problem is None} == {None, *range(6)}
+    assert [r.payload_bytes for r in got if r.page_id is None and r.record_type == "response"] == [10]
+    assert sum(r.record_type == "broken" for r in got) == 3
+
+
+def test_a_page_of_one_hundred_megabytes_is_joined_in_line(spark, tmp_path):
+    """1,600 segments; a join that copies what it has at each of them would move 80 GB."""
+    frame = spark.range(1).selectExpr("id AS page_id", "'u' AS url", "repeat('0123456789abcdef', 6553600) AS html")
+    start = time.perf_counter()
+    warc.write_archives(frame, str(tmp_path / "large"))
+    row = warc.read_pages(spark, str(tmp_path / "large")).collect()[0]
+    assert (row.payload_bytes, row.problem) == (16 * 6_553_600, None)
+    assert row.payload_digest == warc.digest(b"0123456789abcdef" * 6_553_600)
+    assert time.perf_counter() - start < 60
