@@ -1,13 +1,14 @@
-"""Byte-pair encoding by a tokenization automaton, for vocabularies whose tokens mark word ends.
+"""Byte-pair encoding by a compiled tokenization automaton, for vocabularies whose tokens mark word ends.
 
 The automaton reads tokens, not characters, and accepts exactly the token sequences that applying the merges in order
 produces. It starts as one state with a loop for each base symbol. The merge (a, b) -> ab adds one gadget: where an
 arc a leads to a state p that has an arc b, every a-arc is led to a copy of p without its b-arc, and an ab-arc is
-added beside each a-arc, to where b led. All arcs of one token thus lead to one state, so a state is named by the
-token last read, and copies differ from their origin in one arc. Hence gadgets need not be copied out: the arc t
-leaves the state after u unless a gadget took it away, which `arc` finds by unrolling the copies (the state after ab
-began as that after b when ab was made) and the added arcs (ab was added wherever a left). Arcs once asked for are
-kept in a table.
+added beside each a-arc, to where b led. All arcs of one token thus lead to one state, so states are numbered by the
+token last read; a state that follows the end of a word has no arcs and is not stored. The transition table is a bit
+per state and token, set where the arc is; a gadget is one column copied (the state after ab from that after b), one bit
+cleared (a, then b) and one row copied (the arcs ab from the arcs a). When all merges are in, states with the same arcs
+are merged, and tokens that leave the same states. The driver compiles the table and broadcasts it: its size is that of
+the vocabulary, whatever the data.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ import re
 import struct
 import unicodedata
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 
 from cloudtally.llm.common import map_batches
 
@@ -30,7 +33,6 @@ from cloudtally.llm.common import map_batches
 _END = chr(256)
 #: White space to str.split() that the pattern's \s leaves in words.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_ARCS_KEPT = 1 << 20
 
 
 def _byte_letters() -> dict[str, str]:
@@ -40,69 +42,123 @@ def _byte_letters() -> dict[str, str]:
     return {chr(b): chr(b) for b in plain} | {chr(256 + k): chr(b) for k, b in enumerate(rest)}
 
 
+class Compiled(NamedTuple):
+    """A vocabulary and its automaton, as it is shipped to tasks."""
+
+    vocab: dict[str, int]
+    special: dict[str, int]
+    pattern: str
+    suffix: str
+    #: Token -> row of `table`, -1 after the end of a word; token -> bit of a row; the arcs.
+    state: np.ndarray
+    bit: np.ndarray
+    table: np.ndarray
+    #: States, arcs and bytes before equal ones were merged.
+    states: int
+    arcs: int
+    unmerged: int
+
+
+def transitions(vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """State of each token (-1: none), and for each token id a row of bits, one per state that has the token as an arc."""
+    made = {a + b for a, b in merges}
+    if len(made) < len(merges):
+        raise ValueError("a token is made by two merges")
+    top = max(vocab.values(), default=-1) + 1
+    state, n = np.full(top, -1), 0
+    for token, i in vocab.items():
+        if not (suffix and token.endswith(suffix)):
+            state[i], n = n, n + 1
+    # Rows in order of birth, so that the tokens there are so far are the first rows.
+    born = [i for t, i in vocab.items() if t not in made] + [vocab[a + b] for a, b in merges]
+    row = np.full(top, -1)
+    row[born] = np.arange(len(born))
+    arcs = np.zeros((len(born), (n + 7) // 8), np.uint8)
+    k = len(born) - len(merges)
+    some = [state[i] for i in born[:k] if state[i] >= 0]
+    loops = np.zeros(arcs.shape[1] * 8, np.uint8)
+    loops[some] = 1
+    arcs[:k] = np.packbits(loops, bitorder="little")
+    for a, b in merges:
+        left, right, new = vocab[a], vocab[b], vocab[a + b]
+        if state[left] < 0:
+            raise ValueError(f"{a!r} ends a word and is merged with what follows")
+        if state[new] >= 0:
+            source, target = state[right], state[new]
+            copied = (arcs[:k, source >> 3] >> np.uint8(source & 7)) & np.uint8(1)
+            arcs[:k, target >> 3] |= copied << np.uint8(target & 7)
+        arcs[row[right], state[left] >> 3] &= np.uint8(255 ^ (1 << (state[left] & 7)))
+        arcs[k] = arcs[row[left]]
+        k += 1
+    out = np.zeros((top, arcs.shape[1]), np.uint8)
+    out[born] = arcs
+    return state, out, n
+
+
+def minimal(state: np.ndarray, arcs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of each token's state, bit of each token, and the table, with equal states and equal columns merged."""
+    if not n:
+        return state, np.zeros(len(arcs), np.int64), np.zeros((0, 1), np.uint8)
+    _, first, bit = np.unique(arcs.view(f"V{arcs.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    table = np.zeros((n, (len(first) + 7) // 8), np.uint8)
+    for low in range(0, len(first), 1024):
+        part = np.unpackbits(arcs[first[low:low + 1024]], axis=1, bitorder="little")[:, :n]
+        packed = np.packbits(part.T, axis=1, bitorder="little")
+        table[:, low // 8:low // 8 + packed.shape[1]] = packed
+    _, first, merged = np.unique(table.view(f"V{table.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    return np.where(state >= 0, merged[np.maximum(state, 0)], -1), bit, table[first]
+
+
+@lru_cache(maxsize=2)
+def compiled(path: str) -> Compiled:
+    """The automaton of a tokenizer file of the tokenizers library."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model = spec["model"]
+    vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    plain = {t: i for t, i in vocab.items() if t not in special}
+    state, arcs, n = transitions(plain, merges, suffix)
+    count = sum(int(np.bitwise_count(arcs[k:k + 4096]).sum()) for k in range(0, len(arcs), 4096))
+    split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+    return Compiled(plain, special, split["pattern"]["Regex"], suffix, *minimal(state, arcs, n), n, count, arcs.nbytes)
+
+
 class Automaton:
-    """Built from a vocabulary (token -> id) and its merges in order."""
+    """Reads words by the transition table."""
 
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str):
+    def __init__(self, c: Compiled):
         letters = _byte_letters()
 
         def own(token: str) -> str:
-            end = bool(suffix) and token.endswith(suffix)
-            return "".join(letters[c] for c in (token[:-len(suffix)] if end else token)) + _END * end
-        ids = {own(t): i for t, i in vocab.items()}
+            end = bool(c.suffix) and token.endswith(c.suffix)
+            return "".join(letters[x] for x in (token[:-len(c.suffix)] if end else token)) + _END * end
+        ids = {own(t): i for t, i in c.vocab.items()}
         self.length = {i: len(t) for t, i in ids.items()}
         #: Every start of a token -> the token it is, or -1.
         self.starts = {t[:n]: -1 for t in ids for n in range(1, len(t))} | ids
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.born: dict[int, int] = {}
-        self.gadget: dict[int, int] = {}
-        self._table: dict[int, bool] = {}
-        for k, (a, b) in enumerate(merges):
-            self._merge(k, vocab[a], vocab[b], vocab[a + b])
-
-    def _merge(self, k: int, a: int, b: int, ab: int) -> None:
-        if ab in self.born:
-            raise ValueError(f"token {ab} is made by two merges")
-        self.gadget[a << 32 | b] = k
-        self.left[ab], self.right[ab], self.born[ab] = a, b, k
+        rows = [r.tobytes() for r in c.table]
+        none = bytes(c.table.shape[1])
+        #: Token -> the arcs that leave the state after it, and where in them a token's bit is.
+        self.rows = [rows[s] if s >= 0 else none for s in c.state.tolist()]
+        self.octet, self.shift = (c.bit >> 3).tolist(), (c.bit & 7).tolist()
 
     def arc(self, u: int, t: int) -> bool:
         """Whether token t leaves the state after token u."""
-        key = u << 32 | t
-        known = self._table.get(key)
-        if known is None:
-            if len(self._table) >= _ARCS_KEPT:
-                self._table.clear()
-            known = self._table[key] = self._arc(u, t)
-        return known
-
-    def _arc(self, u: int, t: int) -> bool:
-        gadget, born, limit = self.gadget.get, self.born, 1 << 62
-        while True:
-            state, until = u, limit
-            while True:
-                if gadget(state << 32 | t, 1 << 63) <= until:
-                    return False
-                if state not in born:
-                    break
-                until = min(until, born[state] - 1)
-                state = self.right[state]
-            if t not in born:
-                return True
-            limit = born[t]
-            t = self.left[t]
+        return bool(self.rows[u][self.octet[t]] >> self.shift[t] & 1)
 
     def read(self, word: str) -> list[int]:
         """The accepted path whose labels spell the word (bytes as characters, the end mark last).
 
         Each prefix of a word is spelt by one accepted path, so a place that was left once is not tried again.
         """
-        match, known, length, n = self.starts.get, self._table.get, self.length, len(word)
+        match, length, n = self.starts.get, self.length, len(word)
+        rows, octet, shift = self.rows, self.octet, self.shift
         path: list[int] = []
         untried: list[list[int]] = []
         dead: set[int] = set()
-        at, last = 0, -1
+        at, arcs = 0, None
         while at < n:
             options = []
             end = at
@@ -117,12 +173,8 @@ class Automaton:
                 token = -1
                 while options:
                     token = options.pop()
-                    if at + length[token] not in dead:
-                        if last < 0:
-                            break
-                        open_ = known(last << 32 | token)
-                        if self.arc(last, token) if open_ is None else open_:
-                            break
+                    if at + length[token] not in dead and (arcs is None or arcs[octet[token]] >> shift[token] & 1):
+                        break
                     token = -1
                 if token >= 0:
                     break
@@ -130,46 +182,46 @@ class Automaton:
                     raise ValueError(f"no path spells {word!r}")
                 dead.add(at)
                 at -= length[path.pop()]
-                last = path[-1] if path else -1
+                arcs = rows[path[-1]] if path else None
                 options = untried.pop()
             path.append(token)
             untried.append(options)
             at += length[token]
-            last = token
+            arcs = rows[token]
         return path
 
 
 class _Chunks(dict):
-    """Ids of chunks between white space, as bytes; cleared when full."""
+    """Ids of chunks between white space, as bytes; cleared when what it holds passes `most` bytes, long chunks not kept."""
 
     def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.held = encode, most, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        found = self[chunk] = self.encode(chunk)
+        found = self.encode(chunk)
+        # Four bytes a character at most, the ids, and the objects around them.
+        size = 4 * len(chunk) + len(found) + 250
+        if size <= self.most >> 8:
+            if self.held + size > self.most:
+                self.clear()
+                self.held = 0
+            self.held += size
+            self[chunk] = found
         return found
 
 
 class Tokenizer:
     """Encodes and decodes as the tokenizers library does with such a file, without truncation or padding."""
 
-    def __init__(self, path: str, chunks: int = 300_000):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model = spec["model"]
-        vocab = model["vocab"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.automaton = Automaton(vocab, merges, model["end_of_word_suffix"])
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self._special = special
-        self._specials = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self._words = regex.compile(split["pattern"]["Regex"])
-        self.labels = {i: t.encode() for t, i in (*vocab.items(), *special.items())}
-        self._chunks = _Chunks(self._chunk, chunks)
+    def __init__(self, of: str | Compiled, cache_bytes: int = 96 << 20):
+        c = compiled(of) if isinstance(of, str) else of
+        self.automaton = Automaton(c)
+        self._special = c.special
+        self._specials = re.compile("|".join(map(re.escape, sorted(c.special, key=len, reverse=True)))) if c.special else None
+        self._words = regex.compile(c.pattern)
+        self.labels = {i: t.encode() for t, i in (*c.vocab.items(), *c.special.items())}
+        self._chunks = _Chunks(self._chunk, cache_bytes)
 
     def _chunk(self, chunk: str) -> bytes:
         ids: list[int] = []
@@ -207,18 +259,40 @@ def _packed(ids: list[int]) -> bytes:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    """One per Python worker; tasks that share the worker share its tables."""
     return Tokenizer(path)
 
 
+_shipped: dict[tuple[str, str], Broadcast] = {}
+_own: dict[int, Tokenizer] = {}
+
+
+def _shared(spark: SparkSession, path: str) -> Broadcast:
+    """The compiled vocabulary, sent once per application; only the driver needs the file."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _shipped:
+        _shipped[key] = spark.sparkContext.broadcast(compiled(path))
+    return _shipped[key]
+
+
+def _of(shared: Broadcast) -> Tokenizer:
+    """One per Python worker; tasks that share the worker share its tables."""
+    number = shared._jbroadcast.id() if shared._jbroadcast is not None else id(shared.value)
+    if number not in _own:
+        _own.clear()
+        _own[number] = Tokenizer(shared.value)
+    return _own[number]
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """The rows with `ids` (binary, little-endian unsigned 32-bit). Null and empty texts have no ids.
 
-    Only `doc_id` and `text` are read; rows that repeat give the same ids. `path` must exist on every executor.
+    Only `doc_id` and `text` are read; rows that repeat give the same ids. `path` is read on the driver alone.
     """
+    shared = _shared(docs.sparkSession, path)
+
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = list(map(tokenizer(path).encode, batch.column(1).to_pylist()))
+            ids = list(map(_of(shared).encode, batch.column(1).to_pylist()))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
         return work
     return map_batches(docs.select("doc_id", "text"), make, f"doc_id {_kind(docs)}, ids binary")
@@ -226,9 +300,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `text`: what the ids of each row say."""
+    shared = _shared(encoded.sparkSession, path)
+
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [tokenizer(path).decode(i or b"").decode() for i in batch.column(1).to_pylist()]
+            texts = [_of(shared).decode(i or b"").decode() for i in batch.column(1).to_pylist()]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
         return work
     return map_batches(encoded.select("doc_id", "ids"), make, f"doc_id {_kind(encoded)}, text string")
@@ -236,9 +312,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `ids` as `encode` gives them, and `decoded`: what those ids say, as `decode` gives it."""
+    shared = _shared(docs.sparkSession, path)
+
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            t = tokenizer(path)
+            t = _of(shared)
             ids = list(map(t.encode, batch.column(1).to_pylist()))
             texts = [t.decode(i).decode() for i in ids]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
@@ -248,10 +326,16 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """`doc_id`, `n_tokens`, and SHA-256 of the ids and of the decoded text, without moving either to the JVM."""
+    """`doc_id`, `n_tokens`, and SHA-256 of the ids and of the decoded text, without moving either to the JVM.
+
+    Null and empty texts have no tokens and the hashes of nothing; every row gives one row, whatever its id; an empty
+    table gives none.
+    """
+    shared = _shared(docs.sparkSession, path)
+
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            t, texts = tokenizer(path), batch.column(1).to_pylist()
+            t, texts = _of(shared), batch.column(1).to_pylist()
             counts, id_hash, text_hash = [], [], []
             for text in texts:
                 ids = t.encode(text)

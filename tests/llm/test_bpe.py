@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -45,9 +47,65 @@ def test_random_texts(library):
 
 
 def test_full_chunk_table_is_cleared(library):
-    small = bpe.Tokenizer(PATH, chunks=3)
-    text = "one two three four five one two"
+    small = bpe.Tokenizer(PATH, cache_bytes=256 * 300)
+    text = "one two three four five one two " * 3 + " ".join(f"w{i}" for i in range(999)) + " " + "long" * 99
     assert np.frombuffer(small.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert 0 < small._chunks.held <= 256 * 300 and "long" * 99 not in small._chunks
+
+
+def merged(word, merges):
+    """Tokens of a word by the rule itself: each merge in order, from left to right."""
+    parts = list(word)
+    for a, b in merges:
+        out = []
+        for p in parts:
+            if out and out[-1] == a and p == b:
+                out[-1] = a + b
+            else:
+                out.append(p)
+        parts = out
+    return parts
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_transitions_accept_what_the_merges_make(seed):
+    pick = random.Random(seed)
+    tokens, merges = list("abc"), []
+    while len(merges) < 12:
+        a, b = pick.choice(tokens), pick.choice(tokens)
+        # Only merges that can happen: nothing earlier takes their parts apart.
+        if a + b not in tokens and len(a + b) < 7 and merged(a + b, merges) == [a, b]:
+            tokens.append(a + b)
+            merges.append((a, b))
+    vocab = {t: 3 * i for i, t in enumerate(tokens)}
+    state, arcs, n = bpe.transitions(vocab, merges, "")
+    row, bit, table = bpe.minimal(state, arcs, n)
+
+    def arc(u, t):
+        whole = arcs[vocab[t], state[vocab[u]] >> 3] >> (state[vocab[u]] & 7) & 1
+        assert whole == table[row[vocab[u]], bit[vocab[t]] >> 3] >> (bit[vocab[t]] & 7) & 1
+        return bool(whole)
+    assert n == len(tokens)
+    for u, t in itertools.product(tokens, tokens):
+        assert arc(u, t) == (merged(u + t, merges) == [u, t]), (merges, u, t)
+    for length in range(1, 8):
+        for word in map("".join, itertools.product("abc", repeat=length)):
+            parts = merged(word, merges)
+            assert all(map(arc, parts, parts[1:]))
+
+
+def test_the_compiled_table(library):
+    c = bpe.compiled(PATH)
+    assert c.states > 10_000 and c.arcs > 10 ** 8 and c.table.nbytes < c.unmerged / 4
+    a = bpe.tokenizer(PATH).automaton
+    pick = random.Random(2)
+    # The library puts texts into lower case first.
+    plain = [(t, i) for t, i in c.vocab.items() if re.fullmatch("[a-z]+(</w>)?", t)]
+    for _ in range(3000):
+        (u, i), (t, k) = pick.choice(plain), pick.choice(plain)
+        if not u.endswith("</w>") and t.endswith("</w>"):
+            ids = library.encode(u + t[:-4], add_special_tokens=False).ids
+            assert a.arc(i, k) == (ids == [i, k]), (u, t)
 
 
 def test_query(query, sample, library):
