@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -99,6 +99,25 @@ def labelled_sample(labels: DataFrame, label: str, most: int) -> DataFrame:
     return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def bounded_rows(found: DataFrame, keys: list[str], data: str, most_bytes: int) -> list[Row]:
+    """At most one row for each of the `keys` (`doc_id` first) with `most_bytes` of `data` in all, sorted, on the driver.
+
+    An id whose rows differ has the least `data`, combined before it is shuffled, so that an id that repeats a million times
+    is one row. Documents are taken in order of a hash of their id, whole or not at all: one that no longer fits is passed
+    over. The number of different keys must be bounded by the caller.
+    """
+    one = cut(found.groupBy(*keys).agg(F.min(data).alias(data)))
+    sizes = sorted(one.select(F.xxhash64("doc_id").alias("h"), *keys, F.length(data).alias("n")).collect())
+    kept, left = [], most_bytes
+    for r in sizes:
+        if r.n <= left:
+            left -= r.n
+            kept.append(tuple(r[k] for k in keys))
+    schema = ", ".join(f"{k} {kind}" for k, kind in one.select(*keys).dtypes)
+    wanted = F.broadcast(found.sparkSession.createDataFrame(kept, schema))
+    return sorted(one.join(wanted, keys).collect(), key=lambda r: (*(r[k] for k in keys), bytes(r[data])))
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
                 schema: str | StructType, rows: int | None = None) -> DataFrame:
     """`make()` is called once per task and returns what turns one Arrow batch into another.

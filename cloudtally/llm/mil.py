@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import held_out, labelled_sample, map_batches
+from cloudtally.llm.common import bounded_rows, held_out, labelled_sample, map_batches
 
 #: ASCII punctuation has a class each; lower- and upper-case letters, digits, control and other bytes share one.
 _PUNCTUATION = [b for b in range(33, 127) if not chr(b).isalnum()]
@@ -85,6 +85,24 @@ class Model:
         s = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
         return {"h": h, "tv": tv, "su": su, "alpha": alpha, "z": z, "s": s, "n": n}
 
+    def gradients(self, f: dict[str, np.ndarray], x: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss of documents, from what `forward` gave for the passages `x`."""
+        p, starts = self.p, np.cumsum(f["n"]) - f["n"]
+        ds = (f["s"] - labels) / len(labels)
+        g = {"c": f["z"].T @ ds, "d": np.array([ds.sum()])}
+        dz = np.repeat(np.outer(ds, p["c"]), f["n"], axis=0)
+        dalpha = (dz * f["h"]).sum(1)
+        mean = np.repeat(np.add.reduceat(f["alpha"] * dalpha, starts), f["n"])
+        de = f["alpha"] * (dalpha - mean)
+        gate = f["tv"] * f["su"]
+        g["a"] = gate.T @ de
+        dgate = np.outer(de, p["a"])
+        dv, du = dgate * f["su"] * (1 - f["tv"] ** 2), dgate * f["tv"] * f["su"] * (1 - f["su"])
+        g["v"], g["u"] = f["h"].T @ dv, f["h"].T @ du
+        dh = (f["alpha"][:, None] * dz + dv @ p["v"].T + du @ p["u"].T) * (1 - f["h"] ** 2)
+        g["w"], g["b"] = x.T @ dh, dh.sum(0)
+        return g
+
     def score(self, bags: list[np.ndarray]) -> np.ndarray:
         if not bags:
             return np.zeros(0)
@@ -121,19 +139,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 16, attentio
             x = np.concatenate([scaled[i] for i in some])
             starts = np.cumsum([0, *[len(scaled[i]) for i in some]])[:-1]
             f = model.forward(x, starts)
-            ds = (f["s"] - labels[some]) / len(some)
-            g = {"c": f["z"].T @ ds, "d": np.array([ds.sum()])}
-            dz = np.repeat(np.outer(ds, p["c"]), f["n"], axis=0)
-            dalpha = (dz * f["h"]).sum(1)
-            mean = np.repeat(np.add.reduceat(f["alpha"] * dalpha, starts), f["n"])
-            de = f["alpha"] * (dalpha - mean)
-            gate = f["tv"] * f["su"]
-            g["a"] = gate.T @ de
-            dgate = np.outer(de, p["a"])
-            dv, du = dgate * f["su"] * (1 - f["tv"] ** 2), dgate * f["tv"] * f["su"] * (1 - f["su"])
-            g["v"], g["u"] = f["h"].T @ dv, f["h"].T @ du
-            dh = (f["alpha"][:, None] * dz + dv @ p["v"].T + du @ p["u"].T) * (1 - f["h"] ** 2)
-            g["w"], g["b"] = x.T @ dh, dh.sum(0)
+            g = model.gradients(f, x, labels[some])
             step += 1
             now = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
             for k in p:
@@ -144,8 +150,13 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 16, attentio
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", words: int = 64, sample_docs: int = 3000) -> Model:
-    """Learns from at most `sample_docs` labelled documents outside the held-out fold, chosen by a hash of their id."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", words: int = 64, sample_docs: int = 3000,
+        most_bytes: int = 256 << 20) -> Model:
+    """Learns from at most `sample_docs` labelled documents outside the held-out fold, chosen by a hash of their id.
+
+    Of an id that repeats one text counts. Features of the documents are gathered on the driver up to `most_bytes` (184 a
+    passage of `words` words); documents that no longer fit are left out whole.
+    """
     some = labelled_sample(labels, label, sample_docs)
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(some), "doc_id")
 
@@ -155,14 +166,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", words: int =
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())],
                                               ["doc_id", "label", "bag"])
         return work
-    rows = map_batches(texts.select("doc_id", "text", "label"), make, "doc_id long, label int, bag binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.bag)))
+    found = map_batches(texts.select("doc_id", "text", "label"), make, "doc_id long, label int, bag binary")
+    rows = bounded_rows(found, ["doc_id", "label"], "bag", most_bytes)
     bags = [np.frombuffer(bytes(r.bag), np.float32).reshape(-1, FEATURES) for r in rows]
     return train(bags, np.array([r.label for r in rows], np.float64))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, words: int = 64) -> DataFrame:
-    """`doc_id`, `held_out`, `score`, `predicted` for every row; whole texts, a null one as empty."""
+    """`doc_id`, `held_out`, `score`, `predicted` for every row; whole texts, a null one as empty.
+
+    Rows without an id, and all rows of an id that repeats, are scored by their texts and are not held out without an id; an
+    empty table gives no rows.
+    """
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = np.array([model.score([passages(t, words)])[0] for t in batch.column(1).to_pylist()], np.float64)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import held_out, labelled_sample, map_batches
+from cloudtally.llm.common import bounded_rows, held_out, labelled_sample, map_batches
 
 _STRENGTH = 5
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -31,16 +31,18 @@ def hashed(chunk: str, starts: tuple[int, ...] = (4, 6)) -> tuple[int, ...]:
 
 
 class _Words(dict):
-    """Of a word between white space: its features, looked up once; cleared when full."""
+    """Of a word between white space: its features, looked up once; cleared when full, long words not kept."""
 
-    def __init__(self, of, most: int = 200_000):
+    def __init__(self, of, most: int = 200_000, longest: int = 64):
         super().__init__()
-        self.of, self.most = of, most
+        self.of, self.most, self.longest = of, most, longest
 
     def __missing__(self, chunk: str):
-        if len(self) >= self.most:
-            self.clear()
-        found = self[chunk] = self.of(chunk)
+        found = self.of(chunk)
+        if len(chunk) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[chunk] = found
         return found
 
 
@@ -109,6 +111,20 @@ def _outputs(columns: np.ndarray, starts: np.ndarray, w: np.ndarray, bias: float
     return sums[starts[1:]] - sums[starts[:-1]] + bias
 
 
+def _gradients(positive: tuple, unlabelled: tuple, w: np.ndarray, bias: float, prior: float) -> tuple:
+    """The risk over clean documents, the direction that raises it, and the gradient of the whole risk (weights, then bias).
+
+    Both sets are (columns, where each document begins). The sigmoid loss of a wrong sign: l(+) = 1 - s, l(-) = s.
+    """
+    def own(columns, starts):
+        s = 1 / (1 + np.exp(-np.clip(_outputs(columns, starts, w, bias), -30, 30)))
+        each = s * (1 - s) / len(s)
+        return s.mean(), np.append(np.bincount(columns, np.repeat(each, np.diff(starts)), len(w)), each.sum())
+    (sp, gp), (su, gu) = own(*positive), own(*unlabelled)
+    minus = gu - prior * gp
+    return su - prior * sp, -minus, minus - prior * gp
+
+
 def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int, epochs: int = 300,
          rate: float = 0.03, decay: float = 1e-4, beta: float = 0.0) -> tuple[np.ndarray, float]:
     """Weights and bias that minimize the non-negative risk under the sigmoid loss, by Adam over whole sets.
@@ -121,18 +137,10 @@ def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     w, bias = np.zeros(size + 1), np.zeros(1)
     first, second = np.zeros(size + 1), np.zeros(size + 1)
 
-    def gradient(columns, starts, each):
-        per = np.repeat(each, np.diff(starts))
-        return np.append(np.bincount(columns, per, size), each.sum())
     bias[0] = np.log(prior / (1 - prior))
     for step in range(1, epochs + 1):
-        gp, gu = _outputs(p, ps, w[:size], bias[0]), _outputs(u, us, w[:size], bias[0])
-        sp, su = 1 / (1 + np.exp(-np.clip(gp, -30, 30))), 1 / (1 + np.exp(-np.clip(gu, -30, 30)))
-        # The sigmoid loss of a wrong sign: l(+) = 1 - s, l(-) = s.
-        clean = su.mean() - prior * sp.mean()
-        dp, du = sp * (1 - sp) / len(sp), su * (1 - su) / len(su)
-        minus = gradient(u, us, du) - prior * gradient(p, ps, dp)
-        grad = -minus if clean < -beta else minus - prior * gradient(p, ps, dp)
+        clean, ascent, grad = _gradients((p, ps), (u, us), w[:size], bias[0], prior)
+        grad = ascent if clean < -beta else grad
         grad[:size] += decay * w[:size]
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
         move = rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
@@ -184,11 +192,13 @@ def _boundary(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> flo
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = 3000, unlabelled: int = 6000,
-        prior: float | None = None) -> Model:
+        prior: float | None = None, most_bytes: int = 256 << 20) -> Model:
     """Learns from at most `positives` confirmed documents and `unlabelled` others, both outside the held-out fold.
 
     The unlabelled are drawn from all documents by a hash of their id, whatever their labels. The class prior is the
-    share of confirmed ones among all labelled documents outside that fold, unless it is given.
+    share of confirmed ones among all labelled documents outside that fold, unless it is given. Of an id that repeats one
+    text counts. Features are gathered on the driver up to `most_bytes` (4 each); documents that no longer fit are left
+    out whole.
     """
     known = labels.filter(F.col(label).isNotNull() & ~held_out())
     if prior is None:
@@ -207,14 +217,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())],
                                               ["doc_id", "toxic", "found"])
         return work
-    rows = map_batches(texts.select("doc_id", "text", "toxic"), make, "doc_id long, toxic int, found binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.found)))
+    found = map_batches(texts.select("doc_id", "text", "toxic"), make, "doc_id long, toxic int, found binary")
+    rows = bounded_rows(found, ["doc_id", "toxic"], "found", most_bytes)
     sets = {kind: [np.frombuffer(bytes(r.found), "<u4").astype(np.int64) for r in rows if r.toxic == kind] for kind in (0, 1)}
     return train(sets[1], sets[0], prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """`doc_id`, `held_out`, `score`, `predicted` for every row; whole texts, a null one as empty."""
+    """`doc_id`, `held_out`, `score`, `predicted` for every row; whole texts, a null one as empty.
+
+    Rows without an id, and all rows of an id that repeats, are scored by their texts and are not held out without an id; an
+    empty table gives no rows.
+    """
     def make():
         one = model.scorer()
 

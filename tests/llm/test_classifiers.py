@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -56,7 +57,121 @@ def test_attention_finds_the_passage_that_decides():
     assert np.mean([model.attention(b).argmax() == b[:, 0].argmax() for b in hot]) > 0.8
 
 
-def test_gradient_of_the_attention_network():
+def plain_attention(model, bag):
+    """The score of one bag, number by number."""
+    p, f = model.p, math.fsum
+    hidden, weights = range(p["w"].shape[1]), range(p["v"].shape[1])
+    hs, es = [], []
+    for row in ((bag - model.mean) / model.scale).tolist():
+        h = [math.tanh(f(x * p["w"][i, j] for i, x in enumerate(row)) + p["b"][j]) for j in hidden]
+        e = 0.0
+        for k in weights:
+            gate = 1 / (1 + math.exp(-f(h[j] * p["u"][j, k] for j in hidden)))
+            e += math.tanh(f(h[j] * p["v"][j, k] for j in hidden)) * gate * p["a"][k]
+        hs.append(h)
+        es.append(math.exp(e))
+    z = [f(e * h[j] for e, h in zip(es, hs)) / f(es) for j in hidden]
+    return 1 / (1 + math.exp(-f(z[j] * p["c"][j] for j in hidden) - p["d"][0]))
+
+
+def test_quality_scores_against_plain_loops(spark):
+    docs = spark.read.parquet(f"{FOLDED}/documents.parquet")
+    model = mil.fit(docs, spark.read.parquet(f"{FOLDED}/labels.parquet"), sample_docs=200)
+    some = docs.filter("doc_id % 40 = 0 and length(text) < 20000")
+    texts = {r.doc_id: r.text for r in some.collect()}
+    got = {r.doc_id: r.score for r in mil.score(some, model).collect()}
+    assert len(got) > 15 and max(got.values()) - min(got.values()) > 0.5
+    for i, text in texts.items():
+        assert got[i] == pytest.approx(plain_attention(model, mil.passages(text)), rel=1e-5, abs=1e-7)
+
+
+def test_attention_gradients_against_differences():
+    pick = np.random.default_rng(4)
+    bags = [pick.normal(0, 1, (n, mil.FEATURES)) for n in (1, 5, 3)]
+    labels, starts, x = np.array([1.0, 0.0, 1.0]), np.array([0, 1, 6]), np.concatenate(bags)
+    model = mil.train(bags, labels, epochs=3, batch=3)
+    for k in model.p:
+        model.p[k] = model.p[k] + pick.normal(0, 0.3, model.p[k].shape)
+
+    def loss():
+        s = model.forward(x, starts)["s"]
+        return -np.mean(labels * np.log(s) + (1 - labels) * np.log(1 - s))
+    found = model.gradients(model.forward(x, starts), x, labels)
+    assert found.keys() == model.p.keys()
+    for k, values in model.p.items():
+        for at in [tuple(pick.integers(0, n) for n in values.shape) for _ in range(12)]:
+            old, step = values[at], 1e-5
+            values[at] = old + step
+            high = loss()
+            values[at] = old - step
+            low = loss()
+            values[at] = old
+            assert found[k][at] == pytest.approx((high - low) / (2 * step), rel=1e-4, abs=1e-8), (k, at)
+
+
+def plain_risk(positive, unlabelled, w, bias, prior):
+    """Both parts of the risk, document by document."""
+    def s(doc):
+        return 1 / (1 + math.exp(-(sum(w[c] for c in doc) + bias)))
+    found = math.fsum(1 - s(d) for d in positive) / len(positive)
+    clean = math.fsum(map(s, unlabelled)) / len(unlabelled) - prior * math.fsum(map(s, positive)) / len(positive)
+    return prior * found, clean
+
+
+def test_pu_gradients_against_differences():
+    pick = np.random.default_rng(5)
+
+    def docs(n):
+        return [np.sort(pick.choice(9, pick.integers(0, 6), replace=False)) for _ in range(n)]
+
+    def joined(some):
+        return np.concatenate([np.zeros(0, np.int64), *some]), np.cumsum([0, *map(len, some)])
+    p, u, w, bias, prior = docs(7), docs(11), pick.normal(0, 1, 9), 0.3, 0.2
+    clean, ascent, grad = pu._gradients(joined(p), joined(u), w, bias, prior)
+    assert clean == pytest.approx(plain_risk(p, u, w, bias, prior)[1])
+    for k in range(10):
+        def at(step, k=k):
+            v = np.append(w, bias)
+            v[k] += step
+            return plain_risk(p, u, v[:9], v[9], prior)
+        high, low = at(1e-6), at(-1e-6)
+        assert grad[k] == pytest.approx((sum(high) - sum(low)) / 2e-6, rel=1e-5, abs=1e-8)
+        assert -ascent[k] == pytest.approx((high[1] - low[1]) / 2e-6, rel=1e-5, abs=1e-8)
+
+
+def test_toxicity_scores_against_plain_loops(spark):
+    docs = spark.read.parquet(f"{FOLDED}/documents.parquet")
+    model = pu.fit(docs, spark.read.parquet(f"{FOLDED}/labels.parquet"))
+    table = model.table()
+    got = {r.doc_id: r.score for r in pu.score(docs, model).collect()}
+    for r in docs.collect():
+        found = {h for w in (r.text or "").lower().split() for h in pu.hashed(w)}
+        output = model.bias + math.fsum(table.get(h, 0.0) for h in found)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, output)))), rel=1e-9)
+    assert table and max(got.values()) > 0.5 > min(got.values())
+
+
+def test_fits_hold_a_bounded_number_of_bytes(spark, docs, monkeypatch):
+    """One id a hundred thousand times, and long texts: what reaches the driver stays below the bound."""
+    long = docs([(i, f"word{i} text " * 4000) for i in range(40)])
+    many = spark.range(100_000).selectExpr("7L AS doc_id", "concat('fine words ', id) AS text", "NULL AS lang", "NULL AS source",
+                                           "NULL AS n_chars", "NULL AS score", "NULL AS component_id")
+    frame = long.union(many)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    for module in (mil, pu):
+        plain = module.bounded_rows
+        monkeypatch.setattr(module, "bounded_rows", lambda *a, plain=plain: seen.append(plain(*a)) or seen[-1])
+    mil.fit(frame, labels, most_bytes=100_000)
+    pu.fit(frame, labels, most_bytes=100)
+    for rows, key, most in zip(seen, ("bag", "found"), (100_000, 100), strict=True):
+        assert 0 < sum(len(r[key]) for r in rows) <= most
+        assert len({r[:2] for r in rows}) == len(rows)
+    mil.fit(frame, labels)
+    assert sum(r.doc_id == 7 for r in seen[-1]) == 1 and len(seen[-1]) > 25
+
+
+def test_training_separates_three_bags():
     pick = np.random.default_rng(2)
     bags = [pick.normal(0, 1, (n, mil.FEATURES)).astype(np.float64) for n in (1, 3, 4)]
     one = mil.train(bags, np.array([1.0, 0.0, 1.0]), epochs=60, batch=3)
