@@ -24,17 +24,16 @@ class RawInputs(Protocol):
 
 
 class Warehouse:
-    """Dimensions and facts by name. ``at_grain`` promises unique raw rows on the documented grains.
+    """Dimensions and facts by name.
 
     Tables are plans, not data: asking for one starts no job, but for the row count that lets the region
     dimension be broadcast. The ``*_rows`` are the same facts without dimension ids, for plans that use none.
     """
 
-    def __init__(self, spark: SparkSession, inputs: RawInputs, limits: Limits = Limits(), at_grain: bool = False):
+    def __init__(self, spark: SparkSession, inputs: RawInputs, limits: Limits = Limits()):
         self.spark = spark
         self.inputs = inputs
         self.limits = limits
-        self.at_grain = at_grain
 
     @cached_property
     def usage_monthly(self) -> DataFrame:
@@ -111,7 +110,8 @@ class Warehouse:
 
     @cached_property
     def fact_provider_spend(self) -> DataFrame:
-        return facts.fact_provider_spend(self.inputs.provider_spend(), self.at_grain)
+        # Only inputs that group a raw table by its grain can say, without a job, that its keys are unique.
+        return facts.fact_provider_spend(self.inputs.provider_spend(), "provider_spend" in getattr(self.inputs, "unique", ()))
 
     @cached_property
     def fact_provider_finance(self) -> DataFrame:

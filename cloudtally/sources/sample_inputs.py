@@ -27,6 +27,9 @@ SECTORS = ("Finance", "Health", "Justice", "Education")
 class SampleInputs:
     """Raw inputs over one folder of ``<table>.parquet`` files."""
 
+    #: Raw tables that end in a grouping by their documented grain, so that no key can repeat.
+    unique = ("tagging_compliance", "provider_spend", "migration_summary")
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")

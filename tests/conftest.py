@@ -25,7 +25,7 @@ def warehouse(spark, sample_dir):
     from cloudtally.plans.warehouse import Warehouse
     from cloudtally.sources.sample_inputs import SampleInputs
 
-    return Warehouse(spark, SampleInputs(spark, sample_dir), at_grain=True)
+    return Warehouse(spark, SampleInputs(spark, sample_dir))
 
 
 def rows(df, *order):

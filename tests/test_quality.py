@@ -6,6 +6,7 @@ import pytest
 
 from cloudtally.operators.quality import QualityError, assert_clean
 from cloudtally.plans import checks
+from cloudtally.plans.facts import fact_provider_spend
 from cloudtally.sources.schemas import RAW_SCHEMAS
 from tests.conftest import plan, rows
 
@@ -146,3 +147,27 @@ def test_gate_names_what_broke(spark):
     bad = tables(spark, ("fact_usage_monthly", "cost_usd", -1.0))
     with pytest.raises(QualityError, match="fact_usage_monthly: Negative cost_usd: 1"):
         assert_clean(checks.dq_bounds(bad))
+
+
+def test_tables_that_say_so_have_unique_keys(warehouse):
+    assert set(warehouse.inputs.unique) == set(checks.GRAINS)
+    found = checks.dq_grain({t: getattr(warehouse.inputs, t)() for t in checks.GRAINS})
+    assert found.count() == 3 and failing(found) == {}
+
+
+def test_share_is_windowed_only_over_keys_known_to_be_unique(spark, warehouse):
+    assert "Window [" in plan(warehouse.fact_provider_spend)
+
+    class Unknown(type(warehouse.inputs)):
+        unique = ()
+    lazy = type(warehouse)(spark, Unknown(spark, warehouse.inputs.folder)).fact_provider_spend
+    assert "Window [" not in plan(lazy)
+    assert rows(lazy) == rows(warehouse.fact_provider_spend)
+
+
+def test_share_of_a_hot_agency_year_needs_no_window(spark):
+    spend = spark.range(20_000).selectExpr("1 AS agency_id", "'c' AS country", "'cc' AS country_code", "2024 AS year",
+                                           "concat('p', id % 3) AS cloud_provider", "1.0D AS spend_usd")
+    shared = fact_provider_spend(spend)
+    assert "Window" not in plan(shared)
+    assert shared.agg({"provider_share_pct": "sum"}).first()[0] == pytest.approx(1)
