@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from cloudtally.limits import Limits
 from cloudtally.plans.refresh import BY_YEAR
-from cloudtally.sources.catalogue import create_table, create_view, quoted
+from cloudtally.sources.catalogue import create_database, create_table, create_view, quoted
 from cloudtally.sources.published import open_published, published
 
 
@@ -105,9 +108,17 @@ def register(spark: SparkSession, root: str, database: str, limits: Limits = Lim
     Tables are external: their files belong to the published set. Any session of the same catalogue can read them. A
     table is missing for the moment in which it is pointed to a new set.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     frames = open_published(spark, root)
-    for name, path in published(spark, root).items():
-        create_table(spark, database, name, frames[name].schema, path, ("year",) if name in BY_YEAR else ())
+    places = published(spark, root)
+    name_tables(spark, database, f"{root.rstrip('/')}/catalogue", {
+        n: (frames[n].schema, places[n], ("year",) if n in BY_YEAR else ()) for n in places})
     for name, query in statements(database, limits).items():
         create_view(spark, database, name, query)
+
+
+def name_tables(spark: SparkSession, database: str, location: str,
+                tables: dict[str, tuple[StructType, str, Sequence[str]]]) -> None:
+    """A database, below ``location`` if it is new, with an external table for each name: (schema, path, partition columns)."""
+    create_database(spark, database, location)
+    for name, (schema, path, partition_by) in tables.items():
+        create_table(spark, database, name, schema, path, partition_by)

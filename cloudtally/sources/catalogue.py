@@ -12,6 +12,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_database(spark: SparkSession, database: str, location: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {_text(location)}")
+
+
 def create_table(spark: SparkSession, database: str, name: str, schema: StructType, path: str,
                  partition_by: Sequence[str] = ()) -> None:
     """An external Parquet table over ``path``, in place of one of that name; its partitions are found anew."""
@@ -19,8 +27,7 @@ def create_table(spark: SparkSession, database: str, name: str, schema: StructTy
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
     parts = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts} LOCATION {_text(path)}")
     if partition_by:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 

@@ -465,6 +465,10 @@ def statements() -> dict[str, str]:
     }
     sql.update(_reliability())
     sql.update(_finops())
+    views = ("v_cost_trends", "v_cost_spikes", "v_cloud_waste", "v_budget_runrate", "v_seasonality_index", "v_sla_bands")
+    sql |= {f"catalogue_{n}": sql[n] for n in views}
+    # Published tables by year carry it as a column.
+    sql["published_fact_performance"] = _with("SELECT *, year(date_key)::INTEGER AS year FROM fact_performance", "fact_performance")
     return sql
 
 

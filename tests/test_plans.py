@@ -13,7 +13,7 @@ from tests.conftest import plan
 QUERIES = {n: q for n, q in entry_point.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("scan_", "intake_"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("scan_", "intake_", "catalogue_", "published_"))])
 def test_no_python_and_no_cross_join(spark, sample_dir, name):
     text = plan(QUERIES[name](spark, sample_dir))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
