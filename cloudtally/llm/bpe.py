@@ -43,16 +43,18 @@ def _byte_letters() -> dict[str, str]:
 
 
 class Compiled(NamedTuple):
-    """A vocabulary and its automaton, as it is shipped to tasks."""
+    """A vocabulary and its automaton, as it is shipped to tasks: few large values, as workers keep them."""
 
-    vocab: dict[str, int]
+    #: Token -> id, as JSON.
+    tokens: str
     special: dict[str, int]
     pattern: str
     suffix: str
-    #: Token -> row of `table`, -1 after the end of a word; token -> bit of a row; the arcs.
+    #: Token -> row of the table, -1 after the end of a word; token -> bit of a row; the rows, and bytes of one.
     state: np.ndarray
     bit: np.ndarray
-    table: np.ndarray
+    arcs_of: bytes
+    width: int
     #: States, arcs and bytes before equal ones were merged.
     states: int
     arcs: int
@@ -122,31 +124,32 @@ def compiled(path: str) -> Compiled:
     state, arcs, n = transitions(plain, merges, suffix)
     count = sum(int(np.bitwise_count(arcs[k:k + 4096]).sum()) for k in range(0, len(arcs), 4096))
     split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-    return Compiled(plain, special, split["pattern"]["Regex"], suffix, *minimal(state, arcs, n), n, count, arcs.nbytes)
+    row, bit, table = minimal(state, arcs, n)
+    return Compiled(json.dumps(plain), special, split["pattern"]["Regex"], suffix, row, bit, table.tobytes(), table.shape[1], n,
+                    count, arcs.nbytes)
 
 
 class Automaton:
     """Reads words by the transition table."""
 
-    def __init__(self, c: Compiled):
+    def __init__(self, c: Compiled, vocab: dict[str, int]):
         letters = _byte_letters()
 
         def own(token: str) -> str:
             end = bool(c.suffix) and token.endswith(c.suffix)
             return "".join(letters[x] for x in (token[:-len(c.suffix)] if end else token)) + _END * end
-        ids = {own(t): i for t, i in c.vocab.items()}
+        ids = {own(t): i for t, i in vocab.items()}
         self.length = {i: len(t) for t, i in ids.items()}
         #: Every start of a token -> the token it is, or -1.
         self.starts = {t[:n]: -1 for t in ids for n in range(1, len(t))} | ids
-        rows = [r.tobytes() for r in c.table]
-        none = bytes(c.table.shape[1])
-        #: Token -> the arcs that leave the state after it, and where in them a token's bit is.
-        self.rows = [rows[s] if s >= 0 else none for s in c.state.tolist()]
+        self.table = c.arcs_of
+        #: Token -> where the arcs of the state after it begin in the table, -1 after the end of a word.
+        self.begin = [s * c.width if s >= 0 else -1 for s in c.state.tolist()]
         self.octet, self.shift = (c.bit >> 3).tolist(), (c.bit & 7).tolist()
 
     def arc(self, u: int, t: int) -> bool:
         """Whether token t leaves the state after token u."""
-        return bool(self.rows[u][self.octet[t]] >> self.shift[t] & 1)
+        return self.begin[u] >= 0 and bool(self.table[self.begin[u] + self.octet[t]] >> self.shift[t] & 1)
 
     def read(self, word: str) -> list[int]:
         """The accepted path whose labels spell the word (bytes as characters, the end mark last).
@@ -154,11 +157,11 @@ class Automaton:
         Each prefix of a word is spelt by one accepted path, so a place that was left once is not tried again.
         """
         match, length, n = self.starts.get, self.length, len(word)
-        rows, octet, shift = self.rows, self.octet, self.shift
+        table, begin, octet, shift = self.table, self.begin, self.octet, self.shift
         path: list[int] = []
         untried: list[list[int]] = []
         dead: set[int] = set()
-        at, arcs = 0, None
+        at, state = 0, None
         while at < n:
             options = []
             end = at
@@ -173,7 +176,8 @@ class Automaton:
                 token = -1
                 while options:
                     token = options.pop()
-                    if at + length[token] not in dead and (arcs is None or arcs[octet[token]] >> shift[token] & 1):
+                    if at + length[token] not in dead and (
+                            state is None or state >= 0 and table[state + octet[token]] >> shift[token] & 1):
                         break
                     token = -1
                 if token >= 0:
@@ -182,12 +186,12 @@ class Automaton:
                     raise ValueError(f"no path spells {word!r}")
                 dead.add(at)
                 at -= length[path.pop()]
-                arcs = rows[path[-1]] if path else None
+                state = begin[path[-1]] if path else None
                 options = untried.pop()
             path.append(token)
             untried.append(options)
             at += length[token]
-            arcs = rows[token]
+            state = begin[token]
         return path
 
 
@@ -214,13 +218,14 @@ class _Chunks(dict):
 class Tokenizer:
     """Encodes and decodes as the tokenizers library does with such a file, without truncation or padding."""
 
-    def __init__(self, of: str | Compiled, cache_bytes: int = 96 << 20):
+    def __init__(self, of: str | Compiled, cache_bytes: int = 40 << 20):
         c = compiled(of) if isinstance(of, str) else of
-        self.automaton = Automaton(c)
+        vocab = json.loads(c.tokens)
+        self.automaton = Automaton(c, vocab)
         self._special = c.special
         self._specials = re.compile("|".join(map(re.escape, sorted(c.special, key=len, reverse=True)))) if c.special else None
         self._words = regex.compile(c.pattern)
-        self.labels = {i: t.encode() for t, i in (*c.vocab.items(), *c.special.items())}
+        self.labels = {i: t.encode() for t, i in (*vocab.items(), *c.special.items())}
         self._chunks = _Chunks(self._chunk, cache_bytes)
 
     def _chunk(self, chunk: str) -> bytes:
