@@ -22,40 +22,34 @@ def top_k_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: i
 
 
 def ranks(df: DataFrame, value: str, name: str, descending: bool = False, percent: bool = False,
-          ranges: int = 256) -> DataFrame:
+          ranges: int = 256, by: Sequence[str] = ()) -> DataFrame:
     """The rank of each value (``_v``), ties alike (1, 1, 3), or with ``percent`` as (rank - 1) / (rows - 1).
 
-    As ``ranks_within``, for one group.
+    With ``by``, ranks are among the rows of a group; groups are few, of any size. A plain rank sorts a group in one
+    task. Here rows are counted per value, the values fall into ranges at approximate quantiles of their group, the counts
+    of the few ranges are accumulated, and only values of one range are sorted together. The result is exact whatever
+    the quantiles are. NULL ranks last.
     """
-    whole = df.select(F.lit(0).alias("_group"), F.col(value).alias(value))
-    return ranks_within(whole, "_group", value, name, descending, percent, ranges).drop("_group")
-
-
-def ranks_within(df: DataFrame, by: str, value: str, name: str, descending: bool = False, percent: bool = False,
-                 ranges: int = 256) -> DataFrame:
-    """The rank of each value (``_v``) among the rows of its group ``by``; few groups, of any size.
-
-    A plain rank sorts a group in one task. Here rows are counted per value, the values fall into ranges at approximate
-    quantiles of their group, the counts of the few ranges are accumulated, and only values of one range are sorted
-    together. The result is exact whatever the quantiles are. NULL ranks last. ``df`` is counted once; Spark reuses the
-    counts for the quantiles and the ranks.
-    """
-    counts = df.groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    counts = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     shares = F.expr(f"array({', '.join(f'{i / ranges!r}D' for i in range(1, ranges))})")
-    edges = counts.groupBy(by).agg(F.percentile_approx("_v", shares, F.lit(100 * ranges)).alias("_e"))
+    quantiles = F.percentile_approx("_v", shares, F.lit(100 * ranges))
+    if by:
+        edged = counts.join(F.broadcast(counts.groupBy(*by).agg(quantiles.alias("_e"))), list(by))
+    else:
+        edged = counts.withColumn("_e", counts.agg(quantiles.alias("e")).scalar())
     below = F.size(F.filter(F.coalesce("_e", F.array().cast("array<double>")), lambda e: e <= F.col("_v")))
-    placed = counts.join(F.broadcast(edges), by).withColumn(
+    placed = edged.withColumn(
         "_range", F.when(F.col("_v").isNull(), -1 if descending else ranges).otherwise(below)).drop("_e")
     direction = F.col("_range").desc() if descending else F.col("_range").asc()
-    group = Window.partitionBy(by)
+    group = Window.partitionBy(*by)
     whole = group.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(by, "_range").agg(F.sum("_n").alias("_m")).select(
-        by, "_range", F.coalesce(F.sum("_m").over(whole), F.lit(0)).alias("_base"), F.sum("_m").over(group).alias("_all"))
+    totals = placed.groupBy(*by, "_range").agg(F.sum("_n").alias("_m")).select(
+        *by, "_range", F.coalesce(F.sum("_m").over(whole), F.lit(0)).alias("_base"), F.sum("_m").over(group).alias("_all"))
     order = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
-    inner = Window.partitionBy(by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_base") + F.coalesce(F.sum("_n").over(inner), F.lit(0))
     rank = F.coalesce(ratio(before.cast("double"), F.col("_all") - 1), F.lit(0.0)) if percent else before + 1
-    return placed.join(F.broadcast(totals), [by, "_range"]).select(by, "_v", rank.alias(name))
+    return placed.join(F.broadcast(totals), [*by, "_range"]).select(*by, "_v", rank.alias(name))
 
 
 def with_ranks(df: DataFrame, ranked: DataFrame, value: str) -> DataFrame:

@@ -9,7 +9,7 @@ from cloudtally.functions.exact import MONEY_DIGITS, exact_avg, exact_sum, flag,
 from cloudtally.limits import PROVIDERS, SERVICES, Limits
 from cloudtally.operators.forecast import linear_forecast
 from cloudtally.operators.keys import lookup
-from cloudtally.operators.ranking import ranks, ranks_within, top_k, with_ranks
+from cloudtally.operators.ranking import ranks, top_k, with_ranks
 from cloudtally.operators.series import (
     by_month,
     dated,
@@ -311,7 +311,7 @@ def financial_risk_rank(optimisation: DataFrame, variance: DataFrame) -> DataFra
     parts = stored(parts.withColumn("_row", F.monotonically_increasing_id()), "risk-parts")
     cells = parts.select("_row", "agency_id", F.explode(F.array(*[
         F.struct(F.lit(i).alias("part"), F.col(n).alias("value")) for i, n in enumerate(names)])).alias("cell")).select("_row", "agency_id", "cell.*")
-    shares = ranks_within(cells, "part", "value", "share", percent=True)
+    shares = ranks(cells, "value", "share", percent=True, by=["part"])
     ranked = cells.join(shares.withColumnRenamed("part", "_part"), (F.col("part") == F.col("_part")) & F.col("value").eqNullSafe(F.col("_v")))
     # One percent rank for each part, added in their order.
     by_part = ranked.groupBy("_row", "agency_id").agg(*[F.max(F.when(F.col("part") == i, F.col("value"))).alias(n) for i, n in enumerate(names)],

@@ -289,3 +289,14 @@ def test_forecast_counts_months_without_rows(spark):
                                  "agency_id int, date_key date, monthly_cost double, month_index int")
     found = finops.spend_forecast(line).orderBy("step").collect()
     assert [(str(r.forecast_month), r.forecast) for r in found[:2]] == [("2024-11-01", 110.0), ("2024-12-01", 120.0)]
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 256])
+def test_ranks_within_groups(spark, ranges):
+    pick = random.Random(7)
+    data = [(g, None if pick.random() < 0.05 else float(pick.randrange(40 * (g + 1)))) for g in range(3) for _ in range(200)]
+    frame = spark.createDataFrame(data, "g int, x double")
+    found = {(r.g, r._v): r.rank for r in ranks(frame, "x", "rank", ranges=ranges, by=["g"]).collect()}
+    for g, v in set(data):
+        own = [x for h, x in data if h == g]
+        assert found[g, v] == 1 + sum(x is not None and (v is None or x < v) for x in own)
