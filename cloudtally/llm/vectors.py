@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import cut, map_batches
+from cloudtally.llm.common import cut, map_batches, scratch
 from cloudtally.llm.components import connected
 
 #: Room in each block's share for the rounding of rotated vectors.
@@ -201,34 +201,33 @@ def _near(reps: DataFrame, dims: int, rows: int, cosine: float, width: int, cell
             key, n = np.unique(np.concatenate(keys), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
         return work
-    # One row per cell of a block: as many as the plan has.
-    size = {r["key"]: r["n"] for r in map_batches(reps, count, "key long, n long").groupBy("key").agg(
-        F.sum("n").alias("n")).collect()}
-    parts = {k: -(-n // (2 * cell_rows)) for k, n in size.items() if n > 2 * cell_rows}
+    # Cells that are dealt in parts, as a table of known size: Spark broadcasts it or joins it, as that size says.
+    spark, path = reps.sparkSession, scratch(reps.sparkSession, "cells")
+    sized = map_batches(reps, count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    sized.filter(F.col("n") > 2 * cell_rows).select(
+        "key", F.ceil(F.col("n") / (2 * cell_rows)).cast("long").alias("parts")).write.parquet(path)
+    large = spark.read.schema("key long, parts long").parquet(path)
 
     def deal():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = batch.column(0).to_numpy()
             turned = p.turn(unit(_array(batch.column(2).to_pylist(), dims, kind)))
             salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
-            out = []
-            for block in range(p.blocks):
-                row, cell, own = cells(p, turned, block)
-                key = block << 40 | cell
-                n = np.array([parts.get(k, 1) for k in key.tolist()], np.int64)
-                mine = salt[row] * n // salts
-                # A cell of n parts is n(n+1)/2 tasks, one for each pair of parts; a row is in the n with its own.
-                each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                row, key, own, mine = (np.repeat(c, n) for c in (row, key, own, mine))
-                out.append((row, key, np.minimum(mine, each), np.maximum(mine, each), mine, own))
-            row, key, i, j, mine, own = (np.concatenate(c) for c in zip(*out, strict=True))
+            out = [(row, block << 40 | cell, own) for block in range(p.blocks) for row, cell, own in [cells(p, turned, block)]]
+            row, key, own = (np.concatenate(c) for c in zip(*out, strict=True))
             rows = pa.array(row)
             return pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(mine, pa.int32()), pa.array(own),
-                 batch.column(0).take(rows), batch.column(1).take(rows), batch.column(2).take(rows)],
-                ["key", "i", "j", "part", "own", "rep", "copies", "raw"])
+                [pa.array(key), pa.array(salt[row]), pa.array(own), batch.column(0).take(rows), batch.column(1).take(rows),
+                 batch.column(2).take(rows)], ["key", "salt", "own", "rep", "copies", "raw"])
         return work
-    dealt = map_batches(reps, deal, "key long, i int, j int, part int, own boolean, rep long, copies long, raw binary")
+    dealt = map_batches(reps, deal, "key long, salt long, own boolean, rep long, copies long, raw binary")
+    # A cell of n parts is n(n+1)/2 tasks, one for each pair of parts; a row is in the n with its own.
+    n = F.coalesce("parts", F.lit(1).cast("long"))
+    dealt = dealt.join(large, "key", "left").select(
+        "key", F.expr(f"int(salt * coalesce(parts, 1) div {salts})").alias("part"),
+        F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("other"), "own", "rep", "copies", "raw")
+    dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "own",
+                         "rep", "copies", "raw")
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         block = int(frame["key"].iloc[0]) >> 40
