@@ -88,11 +88,14 @@ def _sized(docs: DataFrame) -> DataFrame:
         return work
     kinds = dict(docs.dtypes)
     return map_batches(docs.select("doc_id", "source", mark(), "text"), make,
-                       f"doc_id {kinds['doc_id']}, source {kinds['source']}, mark long, size long")
+                       f"doc_id {kinds['doc_id']}, source {kinds['source']}, mark string, size long")
 
 
 def mark():
-    return F.xxhash64("doc_id", "source", "text").alias("mark")
+    """128 bits that name a row by its id, source and text; which of them are null counts too."""
+    columns = ("doc_id", "source", "text")
+    missing = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])
+    return F.concat(F.hex(F.xxhash64(missing, *columns)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), missing, *columns))).alias("mark")
 
 
 def _running(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
