@@ -21,6 +21,7 @@ import unicodedata
 from functools import lru_cache
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -140,8 +141,11 @@ class Automaton:
             return "".join(letters[x] for x in (token[:-len(c.suffix)] if end else token)) + _END * end
         ids = {own(t): i for t, i in vocab.items()}
         self.length = {i: len(t) for t, i in ids.items()}
-        #: Every start of a token -> the token it is, or -1.
-        self.starts = {t[:n]: -1 for t in ids for n in range(1, len(t))} | ids
+        #: Finds all tokens that end at each place of a word.
+        self.tokens = ahocorasick.Automaton()
+        for t, i in ids.items():
+            self.tokens.add_word(t, i)
+        self.tokens.make_automaton()
         self.table = c.arcs_of
         #: Token -> where the arcs of the state after it begin in the table, -1 after the end of a word.
         self.begin = [s * c.width if s >= 0 else -1 for s in c.state.tolist()]
@@ -154,60 +158,53 @@ class Automaton:
     def read(self, word: str) -> list[int]:
         """The accepted path whose labels spell the word (bytes as characters, the end mark last).
 
-        Each prefix of a word is spelt by one accepted path, so a place that was left once is not tried again.
+        Each prefix of a word is spelt by one accepted path, so one pass is enough: of the tokens that end at a place, the one
+        whose arc leaves the state reached where it begins.
         """
-        match, length, n = self.starts.get, self.length, len(word)
-        table, begin, octet, shift = self.table, self.begin, self.octet, self.shift
-        path: list[int] = []
-        untried: list[list[int]] = []
-        dead: set[int] = set()
-        at, state = 0, None
-        while at < n:
-            options = []
-            end = at
-            while end < n:
-                end += 1
-                token = match(word[at:end])
-                if token is None:
-                    break
-                if token >= 0:
-                    options.append(token)
-            while True:
-                token = -1
-                while options:
-                    token = options.pop()
-                    if at + length[token] not in dead and (
-                            state is None or state >= 0 and table[state + octet[token]] >> shift[token] & 1):
-                        break
-                    token = -1
-                if token >= 0:
-                    break
-                if not path:
-                    raise ValueError(f"no path spells {word!r}")
-                dead.add(at)
-                at -= length[path.pop()]
-                state = begin[path[-1]] if path else None
-                options = untried.pop()
+        length, table, begin, octet, shift = self.length, self.table, self.begin, self.octet, self.shift
+        last = [-1] * (len(word) + 1)
+        for end, token in self.tokens.iter(word):
+            if last[end + 1] < 0:
+                start = end + 1 - length[token]
+                if start:
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    state = begin[before]
+                    if state < 0 or not table[state + octet[token]] >> shift[token] & 1:
+                        continue
+                last[end + 1] = token
+        path, at = [], len(word)
+        while at:
+            token = last[at]
+            if token < 0:
+                raise ValueError(f"no path spells {word!r}")
             path.append(token)
-            untried.append(options)
-            at += length[token]
-            state = begin[token]
+            at -= length[token]
+        path.reverse()
         return path
 
 
 class _Chunks(dict):
-    """Ids of chunks between white space, as bytes; cleared when what it holds passes `most` bytes, long chunks not kept."""
+    """Ids of chunks between white space, as bytes, in at most `most` bytes.
+
+    When half of them are full, they become the older half, of which chunks that are asked for again come back; what was in the
+    older half before is dropped. Long chunks are not kept.
+    """
 
     def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.most, self.held = encode, most, 0
+        self.encode, self.most, self.held, self.older = encode, most // 2, 0, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self.encode(chunk)
-        # Four bytes a character at most, the ids, and the objects around them.
-        size = 4 * len(chunk) + len(found) + 250
+        found = self.older.get(chunk)
+        if found is None:
+            found = self.encode(chunk)
+        # Characters, ids, and the objects around them.
+        size = (len(chunk) if chunk.isascii() else 4 * len(chunk)) + len(found) + 200
         if size <= self.most >> 8:
             if self.held + size > self.most:
+                self.older = dict(self)
                 self.clear()
                 self.held = 0
             self.held += size
@@ -218,7 +215,7 @@ class _Chunks(dict):
 class Tokenizer:
     """Encodes and decodes as the tokenizers library does with such a file, without truncation or padding."""
 
-    def __init__(self, of: str | Compiled, cache_bytes: int = 40 << 20):
+    def __init__(self, of: str | Compiled, cache_bytes: int = 64 << 20):
         c = compiled(of) if isinstance(of, str) else of
         vocab = json.loads(c.tokens)
         self.automaton = Automaton(c, vocab)

@@ -48,10 +48,10 @@ def test_random_texts(library):
 
 
 def test_full_chunk_table_is_cleared(library):
-    small = bpe.Tokenizer(PATH, cache_bytes=256 * 300)
-    text = "one two three four five one two " * 3 + " ".join(f"w{i}" for i in range(999)) + " " + "long" * 99
+    small = bpe.Tokenizer(PATH, cache_bytes=512 * 400)
+    text = "one two three four five one two " * 3 + " ".join(f"w{i}" for i in range(1999)) + " " + "long" * 99
     assert np.frombuffer(small.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
-    assert 0 < small._chunks.held <= 256 * 300 and "long" * 99 not in small._chunks
+    assert 0 < small._chunks.held <= 256 * 400 and small._chunks.older and "long" * 99 not in small._chunks
 
 
 def merged(word, merges):
