@@ -33,12 +33,19 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often, and as far, as the mix of sources takes them."""
+    """Documents as often, and as far, as the mix of sources takes them.
+
+    Null and empty texts have no words to take, so their rows end here; a null source is one of the sources. Rows equal in id,
+    source and text each give the rows of the first of them. An empty table gives no rows.
+    """
     return mixing.mixed(docs, mixing.mix(docs, block_words=512))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`doc_id`, `ids` (little-endian unsigned 32-bit) and `decoded` (the text that the ids give back) of every row of the mix."""
+    """`doc_id`, `ids` (little-endian unsigned 32-bit) and `decoded` (the text that the ids give back) of every row of the mix.
+
+    Null and empty texts give no ids and an empty text; ids may be null or repeat, a row each. An empty table gives no rows.
+    """
     return bpe.encode_decode(docs, VOCABULARY)
 
 
