@@ -94,8 +94,12 @@ class _Run:
         unique = self.repeated["provider_spend"] == 0
         self.keep("fact_provider_spend", facts.fact_provider_spend(rows["provider_spend"], unique), True)
 
-    def gate(self, agency: DataFrame, raw_rows: Mapping[str, int], allow_quarantine: bool) -> list[tuple[str, str, int]]:
-        """Every check as (table, check, failing rows); raises ``QualityError`` if one fails."""
+    def gate(self, agency: DataFrame, raw_rows: Mapping[str, int], allow_quarantine: bool,
+             left: Mapping[str, DataFrame]) -> list[tuple[str, str, int]]:
+        """Every check as (table, check, failing rows); raises ``QualityError`` if one fails.
+
+        ``left`` are the rows of published tables that stay: their agencies must be there still.
+        """
         found = [(t, "Row count reconciliation", abs(self.counts[t]["rows"] - raw_rows[r]))
                  for t, r in checks.SOURCES.items()]
         found += [(t, name, n) for t, counted in self.counts.items() for name, n in counted.items() if name != "rows"]
@@ -103,7 +107,8 @@ class _Run:
             found += [(f"raw_{name}", rule, n) for rule, n in landed.counts.items() if rule not in ("kept", "nulled", "quarantined")]
             found.append((f"raw_{name}", "Quarantined lines", landed.counts["quarantined"]))
         found += [(f"raw_{t}", "Repeated key", n) for t, n in self.repeated.items()]
-        found += [tuple(r) for r in checks.dq_orphans(self.tables, agency).collect()]
+        whole = {n: df.unionByName(left[n].select(*df.columns)) if n in left else df for n, df in self.tables.items()}
+        found += [tuple(r) for r in checks.dq_orphans(whole, agency).collect()]
         fails = [c for c in found if not (allow_quarantine and c[1] == "Quarantined lines")]
         assert_clean(self.spark.createDataFrame(fails, "table_name string, check_type string, failing_rows long"))
         return found
@@ -136,7 +141,8 @@ def refresh_changed(spark: SparkSession, inputs: RawInputs, root: str, limits: L
     Raw rows are compared by digests per month that do not depend on their order. The partitions of changed years are
     built and checked apart, then replaced in the published folders, and the pointer, which also names the new digests,
     is switched last: a run that breaks off between is repeated by the next one. While partitions are replaced, readers
-    may see some of them new and some old. Without a published set this is ``refresh``.
+    may see some of them new and some old. Without a published set, or if regions were added or taken away, which numbers
+    them anew in all facts, every year is rewritten.
     """
     last = published.published(spark, root)
     if not last:
@@ -144,6 +150,9 @@ def refresh_changed(spark: SparkSession, inputs: RawInputs, root: str, limits: L
     run = _Run(spark, published.new_run(root), limits)
     run.land(inputs)
     agency, service, region, date = run.dimensions()
+    if _differ(published.open_published(spark, root)["dim_region"], run.tables["dim_region"]):
+        run.monthly({n: r.rows for n, r in run.raw.items()}, service, region, date)
+        return _finish(run, root, agency, {}, {n: r.counts["kept"] for n, r in run.raw.items()}, allow_quarantine)
     rows, years = {}, {}
     for name in set(BY_YEAR.values()):
         new = period_digest(run.raw[name].rows, _period(name), _year(name))
@@ -155,6 +164,11 @@ def refresh_changed(spark: SparkSession, inputs: RawInputs, root: str, limits: L
     return _finish(run, root, agency, {t: (last[t], years[r]) for t, r in BY_YEAR.items()}, expected, allow_quarantine)
 
 
+def _differ(old: DataFrame, new: DataFrame) -> bool:
+    new = new.select(*old.columns)
+    return bool(old.exceptAll(new).unionAll(new.exceptAll(old)).limit(1).count())
+
+
 def _among(year: Column, years: Iterable[int | None]) -> Column:
     known = [y for y in years if y is not None]
     return F.coalesce(year.isin(known), F.lit(False)) | (year.isNull() & F.lit(None in years))
@@ -164,7 +178,9 @@ def _finish(run: _Run, root: str, agency: DataFrame, replaced: dict[str, tuple[s
             raw_rows: Mapping[str, int], allow_quarantine: bool) -> dict[str, DataFrame]:
     """The tables without years, the gate, the replaced partitions, and the switch."""
     run.keep("fact_migration_summary", facts.fact_migration_summary(run.raw["migration_summary"].rows, agency))
-    run.gate(agency, raw_rows, allow_quarantine)
+    before = published.open_published(run.spark, root) if replaced else {}
+    left = {n: before[n].filter(~_among(F.col("year"), years)) for n, (_, years) in replaced.items()}
+    run.gate(agency, raw_rows, allow_quarantine, left)
     run.digests()
     places = {n: f"{run.folder}/{n}" for n in run.tables}
     for name, (path, years) in replaced.items():

@@ -191,3 +191,32 @@ def test_a_year_without_rows_left_is_removed(spark, raw_folder, tmp_path):
     left = refresh_changed(spark, Some(spark, folder), root)
     assert rows(left["fact_cost_monthly"].select("year").distinct()) == [(1995,)]
     assert rows(left["v_cost_trends"].select(F.year("date_key")).distinct()) == [(1995,)]
+
+
+def test_a_new_region_renumbers_every_year(spark, raw_folder, tmp_path):
+    folder, root = copied(raw_folder, tmp_path), str(tmp_path / "out")
+    refresh(spark, CsvInputs(spark, folder), root)
+    place = published(spark, root)["fact_usage_monthly"]
+    before = files(place)
+    agencies = spark.read.csv(f"{folder}/agencies", header=True)
+    add(spark, folder, "agencies", agencies.limit(1).withColumn("agency_id", F.lit("999999")).withColumn(
+        "aws_pref_region", F.lit("AAA")))
+    changed = refresh_changed(spark, CsvInputs(spark, folder), root)
+    whole = refresh(spark, CsvInputs(spark, folder), str(tmp_path / "full"))
+    assert rows(changed["fact_usage_monthly"]) == rows(whole["fact_usage_monthly"])
+    assert changed["fact_usage_monthly"].agg(F.min("region_id")).first()[0] == 2
+    assert files(place) == before, "the set that was published stays as it was"
+
+
+def test_an_agency_taken_away_is_missed_in_years_that_stay(spark, raw_folder, tmp_path):
+    root = str(tmp_path / "out")
+
+    class Fewer(CsvInputs):
+        least = -1
+
+        def agencies(self):
+            return super().agencies().filter(F.col("agency_id") > self.least)
+    refresh(spark, Fewer(spark, raw_folder), root)
+    Fewer.least = 0
+    with pytest.raises(QualityError, match="fact_usage_monthly: Orphaned agency_id"):
+        refresh_changed(spark, Fewer(spark, raw_folder), root)
