@@ -212,10 +212,15 @@ class _Chunks(dict):
         return found
 
 
+    def close(self) -> None:
+        self.clear()
+        self.held, self.older = 0, {}
+
+
 class Tokenizer:
     """Encodes and decodes as the tokenizers library does with such a file, without truncation or padding."""
 
-    def __init__(self, of: str | Compiled, cache_bytes: int = 64 << 20):
+    def __init__(self, of: str | Compiled, cache_bytes: int = 32 << 20):
         c = compiled(of) if isinstance(of, str) else of
         vocab = json.loads(c.tokens)
         self.automaton = Automaton(c, vocab)
@@ -239,6 +244,10 @@ class Tokenizer:
             return self._chunk(text)
         return b"".join(map(self._chunks.__getitem__, text.split()))
 
+    def close(self) -> None:
+        """Drops the chunks kept so far."""
+        self._chunks.close()
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; a null text is empty."""
         text = text or ""
@@ -296,6 +305,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = list(map(_of(shared).encode, batch.column(1).to_pylist()))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        work.close = lambda: _of(shared).close()
         return work
     return map_batches(docs.select("doc_id", "text"), make, f"doc_id {_kind(docs)}, ids binary")
 
@@ -308,6 +318,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [_of(shared).decode(i or b"").decode() for i in batch.column(1).to_pylist()]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+        work.close = lambda: _of(shared).close()
         return work
     return map_batches(encoded.select("doc_id", "ids"), make, f"doc_id {_kind(encoded)}, text string")
 
@@ -323,6 +334,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
             texts = [t.decode(i).decode() for i in ids]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
                                               ["doc_id", "ids", "decoded"])
+        work.close = lambda: _of(shared).close()
         return work
     return map_batches(docs.select("doc_id", "text"), make, f"doc_id {_kind(docs)}, ids binary, decoded string", rows=256)
 
@@ -347,6 +359,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hash, pa.string()),
                  pa.array(text_hash, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        work.close = lambda: _of(shared).close()
         return work
     return map_batches(docs.select("doc_id", "text"), make,
                        f"doc_id {_kind(docs)}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -122,7 +122,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 schema: str | StructType, rows: int | None = None) -> DataFrame:
     """`make()` is called once per task and returns what turns one Arrow batch into another.
 
-    Batches follow Spark's limit on their bytes, so a task holds a few texts at a time; `rows` cuts them further.
+    Batches follow Spark's limit on their bytes, so a task holds a few texts at a time; `rows` cuts them further. At the end
+    of a task `close` of that function is called, if it has one, so that a worker that lives on need not keep what it holds.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -131,5 +132,6 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 out = work(batch.slice(first, rows))
                 if out is not None and out.num_rows:
                     yield out
+        getattr(work, "close", lambda: None)()
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
