@@ -3,7 +3,8 @@
 Everything on the rows is built-in expressions. Base spans come from four patterns with checks. Further generators
 propose looser, overlapping spans; each candidate gets features of its format and of the text around it, trees score
 it, and those above a threshold calibrated per kind are added where no base span is. The trees are fitted by Spark's
-gradient boosting on a bounded sample and unrolled into conditions, so that scoring needs no shuffle.
+gradient boosting on the candidates of all documents, alike ones counted, and unrolled into conditions, so that scoring
+needs no shuffle.
 """
 
 from __future__ import annotations
@@ -43,8 +44,6 @@ CUES = {"email": "mail|contact", "ip": r"\bip\b|host|server|address", "card": "c
         "phone": "tel|phone|call|fax|mobile"}
 FEATURES = ("kind", "length", "digits", "groups", "letters", "signs", "plus", "at", "luhn", "octets", "enough", "cue",
             "before_word", "after_word", "before_digit", "after_digit", "spread")
-#: Features of the text around a candidate.
-_CONTEXT = ("cue", "before_word", "after_word", "before_digit", "after_digit")
 _AROUND = 24
 _SPAN = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
 
@@ -119,12 +118,12 @@ def _marked(docs: DataFrame) -> DataFrame:
                       *[F.concat(*[some(k, p) for p in LOOSE[k]]).alias(f"loose_{k}") for k in KINDS])
 
 
-def _candidates(docs: DataFrame, learning: bool = False) -> DataFrame:
-    """rest, text, `base` (start, kind, end), and `tried`: all candidates with features and a weak label.
+def _proposed(docs: DataFrame, learning: bool = False) -> DataFrame:
+    """rest, text, `matched` and `kept` (base matches, and those that pass their check), and `labelled`, all candidates.
 
     `rest` holds the other columns of `docs`, so that nothing has to be joined back.
 
-    A base match that passes its check is labelled 1, one that fails 0; a loose one is unlabelled, but for `learning` 0 within
+    A base match that passes its check is `ok`, one that fails is not; a loose one is null, but for `learning` not ok within
     a base span of another kind. Loose ones that equal a base match are told by hashed keys, not by comparing all.
     """
     marked = _marked(docs)
@@ -158,11 +157,15 @@ def _candidates(docs: DataFrame, learning: bool = False) -> DataFrame:
     rest = F.transform(F.array_except(keys("loose"), keys("matched")), parsed)
     if learning:
         rest = F.transform(rest, lambda s: s.withField("ok", F.when(within(s), False)))
-    labelled = F.concat("matched", rest)
-    tried = F.transform(labelled, lambda s: F.struct(
+    return both.select("rest", "text", "matched", "kept", F.concat("matched", rest).alias("labelled"))
+
+
+def _candidates(docs: DataFrame) -> DataFrame:
+    """rest, text, `base` (start, kind, end), and `tried`: all candidates with features and a weak label."""
+    tried = F.transform("labelled", lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["ok"].cast("double").alias("label"),
         _features(s["kind"], s["match"], s["before"], s["after"]).alias("f")))
-    return both.select("rest", "text", "matched", tried.alias("tried"), F.transform(
+    return _proposed(docs).select("rest", "text", tried.alias("tried"), F.transform(
         "kept", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).alias("base"))
 
 
@@ -209,57 +212,73 @@ def _unrolled(node) -> object:
     return split.featureIndex(), float(split.threshold()), _unrolled(node.leftChild()), _unrolled(node.rightChild())
 
 
-def _damaged(rows: DataFrame) -> DataFrame:
-    """Copies of sound matches with their format broken, one digit changed, cut short, or run on, in the places of the originals."""
-    match = F.col("match")
-    broken = F.array(
+def _damaged(match: Column) -> Column:
+    """Copies of a sound match with its format broken, one digit changed, cut short, or run on."""
+    return F.array_compact(F.array(
         F.concat(F.substring(match, 1, 4), F.lit("300"), F.regexp_extract(match, ".{4}(.*)", 1)),
         F.concat(F.regexp_extract(match, "^(.*).$", 1), ((F.substring(match, -1, 1).try_cast("int") + 1) % 10).cast("string")),
-        F.expr("substring(match, 1, int(length(match) / 2))"), F.concat(match, F.lit(" 4321987654321987")))
-    out = rows.filter("label = 1").select("doc_id", "kind", "f", F.explode(broken).alias("match")).filter("match is not null")
-    wrong = F.coalesce(*[F.when(F.col("kind") == i, ~(F.regexp_extract("match", f"^(?:{BASE[k]})$", 0) != F.lit("")) | ~_holds(
-        k, F.col("match"))) for i, k in enumerate(KINDS)])
-    own = out.filter(wrong).withColumn("own", _features(F.col("kind"), F.col("match"), F.lit(" "), F.lit(" ")))
-    return own.select("doc_id", "kind", F.lit(0.0).alias("label"), F.array(
-        *[F.col("f" if n in _CONTEXT else "own")[i] for i, n in enumerate(FEATURES)]).alias("f"))
+        F.substr(match, F.lit(1), (F.length(match) / 2).cast("int")), F.concat(match, F.lit(" 4321987654321987"))))
 
 
-def fit(docs: DataFrame, sample_docs: int = 4000, trees: int = 12, depth: int = 4, precision: float = 0.98) -> Model:
-    """Fits on the candidates of at most `sample_docs` documents, drawn by a hash of their id and in equal parts from those
-    that match each kind's base pattern, so that a rare kind has its share.
+def _examples(docs: DataFrame) -> DataFrame:
+    """`kind`, `label`, `kept_back`, the other FEATURES, and `n`: how many labelled candidates of `docs` are alike in these.
 
-    Labels are weak: what the base checks say, and damaged copies of sound matches. Four fifths of the documents fit the
-    trees; on the rest (on all, where a kind has no sound match there) the lowest threshold of at least `precision` is
-    set for each kind, one half at least; above all scores where the sample has no sound match at all, which means that
-    no document matches the kind's base pattern soundly. With labels of one class no candidate is added.
+    Labels are what the base checks say, and 0 for damaged copies of sound matches, in the places of the originals. A fifth
+    of the documents, by a hash of their id, is kept back. Alike ones are counted before they are shuffled.
     """
+    back = (F.pmod(F.xxhash64("rest.doc_id"), F.lit(5)) == 0).alias("kept_back")
+    found = _proposed(docs, learning=True).select(
+        back, F.explode(F.filter("labelled", lambda s: s["ok"].isNotNull())).alias("s")).select("kept_back", "s.*")
+    copies = F.when(F.col("ok"), _damaged(F.col("match"))).otherwise(F.array().cast("array<string>"))
+    tries = F.concat(F.array(F.struct(F.col("match"), F.col("ok").alias("ok"), F.lit(False).alias("copy"))),
+                     F.transform(copies, lambda m: F.struct(m.alias("match"), F.lit(False).alias("ok"), F.lit(True).alias("copy"))))
+    tried = found.select("kept_back", "kind", "before", "after", F.explode(tries).alias("t")).select(
+        "kept_back", "kind", "before", "after", "t.*")
+    sound = F.coalesce(*[F.when(F.col("kind") == i, (F.regexp_extract("match", f"^(?:{BASE[k]})$", 0) != F.lit("")) & _holds(
+        k, F.col("match"))) for i, k in enumerate(KINDS)])
+    tried = tried.filter(~F.col("copy") | ~sound)
+    shaped = tried.select("kind", F.col("ok").cast("double").alias("label"), "kept_back", _features(
+        F.col("kind"), F.col("match"), F.col("before"), F.col("after")).alias("f"))
+    own = shaped.select("kind", "label", "kept_back", *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES) if n != "kind"])
+    # Sorted, so that a rerun fits the same rows in the same order.
+    return own.groupBy(*own.columns).agg(F.count("*").alias("n")).sortWithinPartitions(*own.columns)
+
+
+def _drawn(docs: DataFrame, sample_docs: int) -> DataFrame:
+    """At most `sample_docs` documents, by a hash of their id and in equal parts from those that match each kind's base pattern."""
     kinds = F.array_compact(F.array(*[F.when(F.col("text").rlike(BASE[k]), i) for i, k in enumerate(KINDS)]))
     matching = docs.filter(F.col("text").rlike("[0-9@]")).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.explode(kinds).alias("kind")).filter("doc_id is not null")
     turn = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("doc_id"), "doc_id"))
     some = matching.withColumn("n", turn).filter(F.col("n") <= sample_docs // len(KINDS)).select("doc_id").distinct()
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id")
-    # Stored, so that what follows, in few tasks, does not read the documents again.
-    found = cut(_candidates(chosen, learning=True).select("rest.doc_id", "tried", "matched"))
-    rows = found.select("doc_id", F.explode(F.zip_with(
-        F.slice("tried", 1, F.size("matched")), "matched",
-        lambda t, m: F.struct(t["kind"].alias("kind"), t["label"].alias("label"), t["f"].alias("f"), m["match"].alias("match")))
-    ).alias("t")).select("doc_id", "t.*")
-    rest = found.select("doc_id", F.explode(F.expr(
-        "slice(tried, size(matched) + 1, size(tried))")).alias("t")).select("doc_id", "t.kind", "t.label", "t.f")
-    every = rows.select("doc_id", "kind", "label", "f").union(rest).union(_damaged(rows)).filter("label is not null")
-    every = cut(every.select("kind", "label", *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES) if n != "kind"],
-                             (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("kept_back")).coalesce(4))
+    return docs.join(F.broadcast(some), "doc_id")
+
+
+def fit(docs: DataFrame, sample_docs: int | None = None, trees: int = 12, depth: int = 4, precision: float = 0.98) -> Model:
+    """Fits on the candidates of all documents; with `sample_docs`, on a draw of at most so many.
+
+    Labels are weak: what the base checks say, and damaged copies of sound matches. Candidates alike in label and features
+    become one row that weighs as many, so trees and thresholds see each of them, and a kind that is rare keeps its
+    own. Four fifths of the documents fit the trees; on the rest (on all, where a kind has no sound match there) the lowest
+    threshold of at least `precision` is set for each kind, one half at least, to four decimals; above all scores where there
+    is no sound match at all. With labels of one class no candidate is added.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Stored, so that the trees, which read them many times, do not read the documents again.
+    every = cut(_examples(docs if sample_docs is None else _drawn(docs, sample_docs)))
     never = Model([], (2.0,) * len(KINDS))
     if every.filter("not kept_back").select("label").distinct().count() < 2:
         return never
     inputs = VectorAssembler(inputCols=["kind_", *FEATURES[1:]], outputCol="features")
-    shaped = inputs.transform(every.withColumn("kind_", F.col("kind").cast("double")))
-    fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=1, labelCol="label").fit(shaped.filter("not kept_back"))
+    shaped = inputs.transform(every.withColumn("kind_", F.col("kind").cast("double")).withColumn("n", F.col("n").cast("double")))
+    fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=1, labelCol="label", weightCol="n").fit(
+        shaped.filter("not kept_back"))
     grown = [(float(w), _unrolled(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True)]
-    scored = every.select("kind", "label", "kept_back", Model(grown, ()).score(
-        F.array(F.col("kind").cast("double"), *FEATURES[1:])).alias("score")).groupBy("kind", "kept_back", "score").agg(
-        F.sum("label").alias("sound"), F.count("*").alias("all")).collect()
+    score = Model(grown, ()).score(F.array(F.col("kind").cast("double"), *FEATURES[1:]))
+    # The driver gets a row per kind, fold and step of the score, however many scores there are.
+    step = F.when(F.col("score") >= 0.5, F.floor(F.col("score") * 10_000) / 10_000).otherwise(0.0)
+    scored = every.withColumn("score", score).groupBy("kind", "kept_back", step.alias("score")).agg(
+        F.sum(F.col("label") * F.col("n")).alias("sound"), F.sum("n").alias("all")).collect()
 
     def threshold(kind: int) -> float:
         own = [r for r in scored if r.kind == kind]

@@ -1,8 +1,8 @@
 """The training-data pipeline: documents filtered by quality, de-duplicated, redacted, mixed, encoded and decoded.
 
 Every stage takes (spark, docs, sf_dir), works on all rows of `docs` and returns a frame; all but the last return the
-columns of documents. Models are fitted within their stage, on bounded samples (parameters of their `fit`). Null or empty
-texts pass through each stage as the operator's docstring says; empty tables give empty results.
+columns of documents. Models are fitted within their stage: that of `redact` on all its rows, that of `quality` on a bounded
+sample (parameters of its `fit`). Null or empty texts pass through each stage as the operator's docstring says; empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -120,3 +120,33 @@ def test_a_rare_kind_has_its_threshold(docs):
     text = "call +1 (269) 555-3296 4524132264652876 now"
     got = pii.spans(docs([(1, text)]), model).collect()[0]
     assert plain(text) == [] and any(s.kind == phone and text[s["start"]:s["end"]].startswith("+1 (269) 555-3296") for s in got.spans)
+
+
+def test_every_document_is_learnt_from(spark, docs, monkeypatch):
+    """Documents beyond any sample are among what the trees fit; alike candidates weigh as many as they are."""
+    pick = random.Random(3)
+
+    def card(n):
+        body = f"4{pick.randrange(10 ** (n - 2)):0{n - 2}d}"
+        return next(body + str(d) for d in range(10) if luhn(body + str(d)))
+    rows = [(i, f"card {card(16 if i % 3 else 13)}") for i in range(1300)]
+    seen, fit = [], pii.GBTClassifier.fit
+
+    def spy(self, frame):
+        weight = F.col("n") if "n" in frame.columns else F.lit(1)
+        seen.append(frame.agg(F.sum(F.col("label") * weight)).first()[0])
+        return fit(self, frame)
+    monkeypatch.setattr(pii.GBTClassifier, "fit", spy)
+    pii.fit(docs(rows))
+    assert seen == [spark.range(1300).filter(F.pmod(F.xxhash64("id"), F.lit(5)) != 0).count()]
+
+
+def test_examples_are_counted(docs):
+    rows = [(1, "card 4539578763621486 x")] * 3 + [(2, "card 4539578763621486 y"), (None, "mail x@y.zz, 1.2.3.4"), (None, "1.2.3.400"),
+                                                  (3, None), (4, "+49 30 1234 5678 or 4539578763621487")]
+    got = {(r.kind, r.label): r.n for r in pii._examples(docs(rows).select("doc_id", "text")).groupBy("kind", "label").agg(
+        F.sum("n").alias("n")).collect()}
+    sound = [s for _, t in rows for s in plain(t)]
+    assert all(got.get((k, 1.0), 0) == sum(s[1] == k for s in sound) for k in range(4))
+    # A failed match each, and damaged copies.
+    assert got[(2, 0.0)] >= 9 and got[(1, 0.0)] >= 2
