@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudtally.llm.common import map_batches
+from cloudtally.llm.common import cut, map_batches
 
 _END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -70,10 +70,10 @@ def _cut(data: bytes, most: int) -> list[bytes]:
     return out
 
 
-def _record(kind: str, name: str, block: bytes, **fields: object) -> str:
+def _record(kind: str, name: str, block: bytes, **fields: object) -> bytes:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>"]
     lines += [f"{k.replace('_', '-')}: {v}" for k, v in fields.items() if v is not None]
-    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", block.decode()])
+    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block
 
 
 def _uri(url: str | None) -> str:
@@ -194,18 +194,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return map_batches(files, make, _RECORD, rows=1)
 
 
-def payloads(found: DataFrame) -> DataFrame:
-    """`page_id`, `digest`, `payload`, `payload_bytes`, `payload_digest`, `problem` for every response (records of other types
-    are passed over).
+def _contents(found: DataFrame, keep: bool) -> DataFrame:
+    """`record_type`, `page_id`, `refers_to`, `digest`, `payload`, `payload_bytes`, `payload_digest`, `problem`: a row for every
+    response, its segments joined, and revisits and broken archives as they are; without `keep` the payload itself is null.
 
-    Segments are grouped by origin (one page each), ordered by number and joined. `problem` says why a payload is
-    null: a segment is missing or doubled, the joined length differs from the total the last one states, the framing is
-    broken; or that the payload's digest differs from the header's.
+    Only two passes read the archives: one for segments, one for all else.
     """
-    some = found.filter(F.col("type").isin("response", "continuation"))
-    alone = some.filter("segment is null").select("page_id", "digest", F.lit("").alias("fault"), F.array("block").alias("blocks"))
+    whole, none = F.col("type").isin("response", "continuation"), F.lit(None)
+    kind = F.when(whole, "response").otherwise(F.col("type")).alias("record_type")
+    alone = found.filter((whole & F.col("segment").isNull()) | F.col("type").isin("revisit", "broken")).select(
+        kind, "page_id", "refers_to", "digest", F.coalesce("problem", F.lit("")).alias("fault"), F.array("block").alias("blocks"))
     parts = F.sort_array(F.collect_list(F.struct("segment", "block")))
-    joined = (some.filter("segment is not null").groupBy("origin").agg(
+    joined = (found.filter(whole & F.col("segment").isNotNull()).groupBy("origin").agg(
         F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.max("total").alias("total"),
         parts.alias("parts")))
     length = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.length(p["block"]))
@@ -213,14 +213,18 @@ def payloads(found: DataFrame) -> DataFrame:
     fault = (F.when(numbers != F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1))), "segments are missing or doubled")
              .when(F.col("total").isNull(), "the last segment is missing")
              .when(length != F.col("total"), "the length differs from the total").otherwise(""))
-    joined = joined.select("page_id", "digest", fault.alias("fault"), F.col("parts.block").alias("blocks"))
+    joined = joined.select(F.lit("response").alias("record_type"), "page_id", none.cast("long").alias("refers_to"), "digest",
+                           fault.alias("fault"), F.col("parts.block").alias("blocks"))
+    fields = pa.schema([
+        ("record_type", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("digest", pa.string()),
+        ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("problem", pa.string())])
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for r in batch.to_pylist():
                 payload, problem = None, r["fault"] or None
-                if not problem:
+                if not problem and r["record_type"] == "response":
                     head, _, body = b"".join(r["blocks"]).partition(_END.encode())
                     try:
                         payload = unframed(body) if b"transfer-encoding: chunked" in head.lower() else body
@@ -229,15 +233,26 @@ def payloads(found: DataFrame) -> DataFrame:
                 sha = None if payload is None else digest(payload)
                 if sha and r["digest"] and sha != r["digest"]:
                     problem = "the digest differs"
-                out.append({"page_id": r["page_id"], "digest": r["digest"], "payload": payload,
+                out.append({"record_type": r["record_type"], "page_id": r["page_id"], "refers_to": r["refers_to"],
+                            "digest": r["digest"], "payload": payload if keep else None,
                             "payload_bytes": None if payload is None else len(payload), "payload_digest": sha,
                             "problem": problem})
-            return pa.RecordBatch.from_pylist(out, pa.schema([
-                ("page_id", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
-                ("payload_digest", pa.string()), ("problem", pa.string())]))
+            return pa.RecordBatch.from_pylist(out, fields)
         return work
-    return map_batches(alone.unionByName(joined), make, "page_id long, digest string, payload binary, payload_bytes long, "
-                                                        "payload_digest string, problem string", rows=8)
+    return map_batches(alone.unionByName(joined), make, "record_type string, page_id long, refers_to long, digest string, "
+                       "payload binary, payload_bytes long, payload_digest string, problem string", rows=8)
+
+
+def payloads(found: DataFrame) -> DataFrame:
+    """`page_id`, `digest`, `payload`, `payload_bytes`, `payload_digest`, `problem` for every response (records of other types
+    are passed over).
+
+    Segments are grouped by origin (one page each), ordered by number and joined. `problem` says why a payload is
+    null: a segment is missing or doubled, the joined length differs from the total the last one states, the framing is
+    broken; or that the payload's digest differs from the header's.
+    """
+    return _contents(found, keep=True).filter("record_type = 'response'").select(
+        "page_id", "digest", "payload", "payload_bytes", "payload_digest", "problem")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -245,19 +260,17 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
     A revisit takes its payload's facts from the response it refers to, and a problem if there is none. A response
     with a problem keeps its row, and an archive that breaks off adds one of `record_type` broken without a page.
+    What a page's row needs is stored once in the shared folder, without the payload, so that archives are not read for
+    each kind of row again.
     """
-    found = read_records(spark, path)
-    whole = payloads(found).drop("payload")
-    responses = whole.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"),
-                             F.lit(None).cast("long").alias("refers_to"), "problem")
-    targets = whole.groupBy(F.col("page_id").alias("refers_to"), F.col("digest")).agg(
+    whole = cut(_contents(read_records(spark, path), keep=False).drop("payload"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem"]
+    targets = whole.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), F.col("digest")).agg(
         F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest"))
-    revisits = found.filter("type = 'revisit'").select("page_id", "digest", "refers_to").join(
-        targets, ["refers_to", "digest"], "left").select(
-        "page_id", "payload_bytes", "payload_digest", F.lit("revisit").alias("record_type"), "refers_to",
-        F.when(F.col("payload_digest").isNull(), "its response is missing").alias("problem"))
+    revisits = whole.filter("record_type = 'revisit'").select("page_id", "digest", "record_type", "refers_to").join(
+        targets, ["refers_to", "digest"], "left").withColumn(
+        "problem", F.when(F.col("payload_digest").isNull(), "its response is missing"))
     none = F.lit(None).cast("long")
-    broken = found.filter("type = 'broken'").select(
-        none.alias("page_id"), none.alias("payload_bytes"), F.lit(None).cast("string").alias("payload_digest"),
-        F.col("type").alias("record_type"), none.alias("refers_to"), "problem")
-    return responses.unionByName(revisits).unionByName(broken)
+    rest = whole.filter("record_type <> 'revisit'").withColumn("refers_to", none).withColumn(
+        "page_id", F.when(F.col("record_type") == "response", F.col("page_id")))
+    return rest.select(*columns).unionByName(revisits.select(*columns))

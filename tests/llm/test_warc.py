@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from cloudtally.llm import warc
+from tests.conftest import plan
 
 
 def test_query_matches_sql(query, oracle):
@@ -99,6 +100,13 @@ def test_broken_and_foreign_archives(spark, tmp_path):
     assert sum(r.record_type == "broken" for r in got) == 3
 
 
+def test_archives_are_read_in_two_passes(spark, tmp_path):
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages(spark, ROWS), path, segment=1000)
+    assert plan(warc.read_pages(spark, path)).count("FileScan binaryFile") == 0
+    assert plan(warc._contents(warc.read_records(spark, path), keep=False)).count("FileScan binaryFile") == 2
+
+
 def test_a_page_of_one_hundred_megabytes_is_joined_in_line(spark, tmp_path):
     """1,600 segments; a join that copies what it has at each of them would move 80 GB."""
     frame = spark.range(1).selectExpr("id AS page_id", "'u' AS url", "repeat('0123456789abcdef', 6553600) AS html")
