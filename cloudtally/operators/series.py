@@ -53,22 +53,20 @@ def growth(value: Column, previous: Column) -> Column:
 
 
 def fill_months(df: DataFrame, entity: Sequence[str], value: str, date: str = "date_key") -> DataFrame:
-    """Add the missing months between an entity's first and last one, with the value 0.
+    """Add the missing months between an entity's first and last one, with the value 0, after the month before them.
 
     Input is one row per entity and month. Rows without a month are kept as they are.
     """
-    spans = df.groupBy(*entity).agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
-    spine = spans.filter(F.col("_first").isNotNull()).select(
-        *entity, F.explode(F.sequence("_first", "_last", F.expr("interval 1 month"))).alias(date),
-        F.lit(0.0).alias(value))
-    real = df.select(*entity, date, value, F.lit(1).alias("_real"))
-    # A real value, also a NULL one, wins over the zero of the added month.
-    pick = F.max_by(F.struct(F.col(value).alias("v")), "_real").alias("_pick")
-    return (
-        spine.withColumn("_real", F.lit(0)).unionByName(real)
-        .groupBy(*entity, date).agg(pick)
-        .select(*entity, date, F.col("_pick.v").alias(value))
-    )
+    month = F.expr("interval 1 month")
+    following = df.select(*entity, date, F.col(value).cast("double").alias(value),
+                          F.lead(date).over(by_month(entity, date)).alias("_next"))
+    first = F.add_months(date, 1)
+    gap = F.when(first < F.col("_next"), F.sequence(first, F.add_months("_next", -1), month))
+    none = F.array().cast("array<date>")
+    rows = F.concat(F.array(F.struct(F.col(date).alias("d"), F.col(value).alias("v"))), F.transform(
+        F.coalesce(gap, none), lambda d: F.struct(d.alias("d"), F.lit(0.0).alias("v"))))
+    # In the window's own partitions, so that a window over the months that follows needs no shuffle.
+    return following.select(*entity, F.inline(rows).alias(date, value))
 
 
 def month_index(df: DataFrame, entity: Sequence[str], date: str = "date_key", name: str = "month_index") -> DataFrame:

@@ -101,6 +101,22 @@ def test_fill_months_adds_zeros_and_keeps_nulls(spark):
         (1, month(1), 5.0), (1, month(2), 0.0), (1, month(3), 0.0), (1, month(4), None), (2, month(2), 7.0)]
 
 
+def test_fill_months_reads_its_input_once(spark):
+    """Against plain dictionaries, with null entities and months; one shuffle, which a window that follows shares."""
+    rng = random.Random(7)
+    data = {(e, m): float(rng.randint(1, 9)) for e in (None, 1, 2, 3) for m in (None, *rng.sample(range(1, 13), 5))}
+    frame = spark.createDataFrame([(e, m and month(m), v) for (e, m), v in data.items()], "agency_id int, date_key date, cost_usd double")
+    filled = series.fill_months(frame, ["agency_id"], "cost_usd")
+    expected = dict(data)
+    for e in (None, 1, 2, 3):
+        own = [m for x, m in data if x == e and m]
+        expected |= {(e, m): 0.0 for m in range(min(own), max(own)) if m not in own}
+    assert {(r[0], r[1] and r[1].month): r[2] for r in filled.collect()} == expected
+    assert filled.count() == len(expected)
+    followed = plan(filled.withColumn("before", F.lag("cost_usd").over(series.by_month(["agency_id"]))))
+    assert followed.count("Exchange") == 1 and "Union" not in followed and "SortAggregate" not in followed
+
+
 def test_run_rate_late_start(spark):
     df = monthly(spark, {1: {4: 100.0, 5: 200.0}, 2: {1: 50.0}})
     assert rows(series.run_rate(df, ["agency_id"], "cost_usd")) == [
