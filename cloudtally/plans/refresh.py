@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from cloudtally.plans import checks, dimensions, facts, views
 from cloudtally.plans.warehouse import RawInputs
 from cloudtally.sources import published
 from cloudtally.sources.intake import Landed, land, land_frame
-from cloudtally.sources.layers import load, publish_views, rebuild, replace_partitions, written
+from cloudtally.sources.layers import load, publish_views, rebuild, replace_partitions, together, written
 from cloudtally.sources.raw import CsvInputs
 
 RAW = ("usage_monthly", "migration_summary", "tagging_compliance", "provider_spend", "agencies")
@@ -59,12 +60,14 @@ class _Run:
         rules = {r: {} for r in RAW}
         for rule in [*checks.finite_rules(), checks.month_rule()]:
             rules[rule.table.removeprefix("raw_")][rule.name] = rule.fails
-        for name in RAW:
+
+        def landed(name: str) -> Landed:
             out = f"{self.folder}/raw_{name}"
             # A subclass may make a table in a way of its own; then that frame is landed, not its files.
             files = getattr(type(inputs), name) is getattr(CsvInputs, name)
-            self.raw[name] = land(self.spark, name, inputs.path(name), out, rules[name]) if files else land_frame(
+            return land(self.spark, name, inputs.path(name), out, rules[name]) if files else land_frame(
                 getattr(inputs, name)(), out, rules[name])
+        self.raw = dict(zip(RAW, together([partial(landed, n) for n in RAW]), strict=True))
         grain = checks.dq_grain({n: r.rows for n, r in self.raw.items()})
         self.repeated = {r["table_name"].removeprefix("raw_"): r["failing_rows"] for r in grain.collect()}
 
@@ -85,14 +88,20 @@ class _Run:
 
     def monthly(self, rows: Mapping[str, DataFrame], service: DataFrame, region: DataFrame, date: DataFrame) -> None:
         """The tables by year, made from (some years of) the raw rows."""
-        usage = self.keep("fact_usage_monthly", facts.fact_usage_monthly(rows["usage_monthly"], service, region, date), True)
-        self.keep("fact_cost_monthly", facts.cost_of_usage(usage, self.limits), True)
-        self.keep("fact_performance", facts.fact_performance(usage, date, self.limits), True)
-        tagging = self.keep("fact_tagging_compliance", facts.fact_tagging_compliance(rows["tagging_compliance"], date), True)
-        self.keep("fact_finance_governance", facts.governance_of(tagging, self.limits), True)
-        # Only a key that was shown to be unique bounds the groups of a window.
-        unique = self.repeated["provider_spend"] == 0
-        self.keep("fact_provider_spend", facts.fact_provider_spend(rows["provider_spend"], unique), True)
+        def used() -> None:
+            usage = self.keep("fact_usage_monthly", facts.fact_usage_monthly(rows["usage_monthly"], service, region, date), True)
+            together([lambda: self.keep("fact_cost_monthly", facts.cost_of_usage(usage, self.limits), True),
+                      lambda: self.keep("fact_performance", facts.fact_performance(usage, date, self.limits), True)])
+
+        def tagged() -> None:
+            tagging = self.keep("fact_tagging_compliance", facts.fact_tagging_compliance(rows["tagging_compliance"], date), True)
+            self.keep("fact_finance_governance", facts.governance_of(tagging, self.limits), True)
+
+        def spent() -> None:
+            # Only a key that was shown to be unique bounds the groups of a window.
+            unique = self.repeated["provider_spend"] == 0
+            self.keep("fact_provider_spend", facts.fact_provider_spend(rows["provider_spend"], unique), True)
+        together([used, tagged, spent])
 
     def gate(self, agency: DataFrame, raw_rows: Mapping[str, int], allow_quarantine: bool,
              left: Mapping[str, DataFrame]) -> list[tuple[str, str, int]]:
@@ -114,9 +123,9 @@ class _Run:
         return found
 
     def digests(self) -> None:
-        for name in sorted(set(BY_YEAR.values())):
-            rows = self.raw[name].rows
-            self.keep(f"digest_{name}", period_digest(rows, _period(name), _year(name)))
+        def kept(name: str) -> DataFrame:
+            return self.keep(f"digest_{name}", period_digest(self.raw[name].rows, _period(name), _year(name)))
+        together([partial(kept, n) for n in sorted(set(BY_YEAR.values()))])
 
 
 def refresh(spark: SparkSession, inputs: RawInputs, root: str, limits: Limits = Limits(),

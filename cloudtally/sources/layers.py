@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
+
+def together(jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """What independent jobs return, run at the same time: the few last tasks of one do not leave the cores to wait."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
 
 def written(df: DataFrame, path: str, partition_by: Sequence[str] = (),
             count: Mapping[str, Column] | None = None) -> tuple[DataFrame, dict[str, int]]:

@@ -2,6 +2,7 @@
 
 import os
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,3 +221,19 @@ def test_an_agency_taken_away_is_missed_in_years_that_stay(spark, raw_folder, tm
     Fewer.least = 0
     with pytest.raises(QualityError, match="fact_usage_monthly: Orphaned agency_id"):
         refresh_changed(spark, Fewer(spark, raw_folder), root)
+
+
+def test_raw_tables_are_landed_at_the_same_time(spark, sample_dir, tmp_path):
+    """Two inputs that wait for each other; one after the other, the first would wait in vain."""
+    meet = threading.Barrier(2, timeout=60)
+
+    class Waiting(SampleInputs):
+        def usage_monthly(self):
+            meet.wait()
+            return super().usage_monthly()
+
+        def provider_spend(self):
+            meet.wait()
+            return super().provider_spend()
+    tables = refresh(spark, Waiting(spark, sample_dir), str(tmp_path / "set"))
+    assert tables["fact_performance"].count() == SampleInputs(spark, sample_dir).usage_monthly().count()
