@@ -99,12 +99,15 @@ def mark():
 
 
 def _running(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """The frame with `before`: the sum of `value` over the key's rows of lower order, in two steps."""
+    """The frame with `before`: the sum of `value` over the key's rows of lower order, in two steps.
+
+    Joined in the window's partitions: Spark takes what a few shards make for as small as they are, and would broadcast it.
+    """
     some = df.withColumn("part", F.expr(f"{order} div {_GROUP}"))
     sums = some.groupBy(key, "part").agg(F.sum(value).alias("s"))
     base = sums.select(key, "part", (F.sum("s").over(Window.partitionBy(key).orderBy("part")) - F.col("s")).alias("base"))
     inner = F.sum(value).over(Window.partitionBy(key, "part").orderBy(order)) - F.col(value)
-    return some.withColumn("inner", inner).join(base, [key, "part"]).withColumn(
+    return some.withColumn("inner", inner).join(base.hint("merge"), [key, "part"]).withColumn(
         "before", F.col("base") + F.col("inner")).drop("part", "base", "inner")
 
 
@@ -215,9 +218,12 @@ def pieces(m: Mix) -> DataFrame:
 
 
 def taken(m: Mix) -> DataFrame:
-    """`doc_id`, `size`, `source_size`, `target`, `taken` for every row of the documents, repeated rows included."""
+    """`doc_id`, `size`, `source_size`, `target`, `taken` for every row of the documents, repeated rows included.
+
+    Slots are never broadcast: Spark's estimate of them is that of the shards, thousands of times fewer.
+    """
     times = m.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
-    used = (pieces(m).join(times, ["number", "block"]).groupBy("number", "start")
+    used = (pieces(m).join(times.hint("merge"), ["number", "block"]).groupBy("number", "start")
             .agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken")))
     spark = m.docs.sparkSession
     facts = spark.createDataFrame([(s.number, s.size, s.target) for s in m.sources],
@@ -237,7 +243,7 @@ def mixed(docs: DataFrame, m: Mix) -> DataFrame:
     the rows of the first of them.
     """
     span = F.struct("lo", "hi")
-    of = (pieces(m).join(m.slots.select("number", "block", "epoch"), ["number", "block"])
+    of = (pieces(m).join(m.slots.select("number", "block", "epoch").hint("merge"), ["number", "block"])
           .groupBy("mark", "number", "start", "epoch", "size").agg(F.sort_array(F.collect_list(span)).alias("spans")))
     one = (of.groupBy("mark").agg(F.min(F.struct("number", "start")).alias("first")))
     of = (of.join(one, "mark").filter(F.struct("number", "start") == F.col("first"))

@@ -108,3 +108,12 @@ def test_columns_named_as_the_operator_names_its_own(docs):
     more = frame.selectExpr("*", "doc_id * 10 AS mark", "doc_id * 100 AS passes", "'r' AS rest", "doc_id AS number")
     got = mixing.mixed(more, mixing.mix(more, block_words=16)).collect()
     assert got and all((r.mark, r.passes, r.rest, r.number) == (10 * r.doc_id, 100 * r.doc_id, "r", r.doc_id) for r in got)
+
+
+def test_slots_are_not_broadcast_however_few_their_shards(docs):
+    frame = docs([(i, "w " * (i % 40), f"s{i % 4}") for i in range(300)])
+    m = mixing.mix(frame, block_words=8, shard_slots=50)
+    for out in (m.slots, mixing.taken(m), mixing.mixed(frame, m)):
+        joins = [line for line in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+        assert any("SortMergeJoin [number#" in j for j in joins)
+        assert not any("BroadcastHashJoin [number#" in j and ("block#" in j or "part#" in j) for j in joins)
