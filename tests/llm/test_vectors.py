@@ -98,3 +98,46 @@ def test_vectors_whose_squares_leave_doubles(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
     assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4)}
+
+
+def test_rounds_deal_every_cell_and_part_once():
+    rounds = vectors._rounds({0: 10, 1: 20, 2: 90, 3: 400, 4: 30}, {0: 1, 1: 1, 2: 9, 3: 150, 4: 1}, 50)
+    seen = [(b, cell, part) for blocks, share, shares, turn, turns in rounds for b in blocks
+            for cell in range(840) if cell % shares == share for part in range(8) if part % turns == turn]
+    assert sorted(seen) == [(b, c, k) for b in range(5) for c in range(840) for k in range(8)]
+    assert [r[0] for r in rounds if len(r[0]) > 1] == [[0, 1]] and {r[4] for r in rounds if r[0] == [3]} == {3}
+
+
+@pytest.mark.parametrize(("most", "cell_rows", "spread"), [(1, 30, 0.0), (300, 4, 0.0), (300, 10, 0.01)])
+def test_many_rounds_and_parts_against_all_pairs(spark, monkeypatch, most, cell_rows, spread):
+    rows = clusters(150, 16)
+    # A group within a hair's breadth, which no cuts part: its cell is dealt in parts.
+    pick = np.random.default_rng(1)
+    rows += [(1000 + i, (np.arange(16) + spread * i / 90 + 0.01 * pick.standard_normal(16)).tolist()) for i in range(90)]
+    monkeypatch.setattr(vectors, "_ROUND_ROWS", most)
+    monkeypatch.setattr(vectors, "_ROUND_COPIES", 1)
+    monkeypatch.setattr(vectors, "_SMALL", 8)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vectors.near_duplicates(frame, cell_rows=cell_rows, sample_rows=40).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
+
+
+def test_no_copies_of_vectors_stay_in_shuffle_files(spark):
+    import gc
+    import time
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        files = disk.getAllFiles()
+        return sum(files.apply(k).length() for k in range(files.size()))
+    rows = clusters(4000, 64)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2).cache()
+    frame.count()
+    gc.collect()
+    before = held()
+    assert len(vectors.near_duplicates(frame, cell_rows=100).columns) == 4
+    until = time.time() + 20
+    while held() - before > 4 * 256 * len(rows) and time.time() < until:
+        time.sleep(0.5)
+    assert held() - before <= 4 * 256 * len(rows)
+    frame.unpersist()
